@@ -46,12 +46,17 @@ def _is_points(df: DataFrame) -> bool:
 
 
 def _norm_rect(df: DataFrame, prefix: str, id_col: str) -> DataFrame:
-    """id + corners sorted per axis (only where no corner is NaN) + validity flag."""
+    """id + corners sorted per axis + validity flag (no NaN/null corner).
+
+    Rows with ``ok = false`` never enter a join; their sorted corners are
+    meaningless but only ever compared with other invalid rows (``ok`` is part
+    of every key they are grouped or joined on).
+    """
     ok = P.valid_rect()
     cols = P.normalized_rect(alias=False)
     return df.select(
         F.col(id_col).alias(f"{prefix}id"),
-        *[F.when(ok, c).otherwise(F.col(n)).alias(f"{prefix}{n}") for c, n in zip(cols, RECT)],
+        *[c.alias(f"{prefix}{n}") for c, n in zip(cols, RECT)],
         ok.alias(f"{prefix}ok"),
     )
 

@@ -8,9 +8,11 @@ exact predicate only runs on nearby candidates.
 
 Levels
     Cells at level ``l`` are squares of side ``2**l``.  A box lives at the
-    smallest level whose side is at least its extent (``max(width, height)``),
-    but never below the data-derived floor level ``k``; there it covers at most
-    2 x 2 cells (3 x 3 under rounding).  So a box is copied into a handful of
+    smallest level whose side is at least its extent (``max(width, height)``)
+    divided by ``2**shift``, but never below the data-derived floor level
+    ``k``; there it covers at most (2**shift + 1)**2 cells (one more per axis
+    under rounding).  Point-vs-box joins use shift 1 (cells half the typical
+    box), box-vs-box joins shift 0.  So a box is copied into a handful of
     cells however large it is, and no box is "too large for the grid".
     Boxes with a non-finite corner go to ``TOP``, a level with one cell.
 
@@ -42,7 +44,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessel.functions.predicates import all_finite
 from tessel.session import ensure_checkpoint_dir
 
 # Fixed values of the plan (not tuning knobs of the data):
@@ -51,22 +52,50 @@ CLAMP = float(2**50)  # cell indexes are clamped to +/- this (keeps floor() in B
 MIN_LEVEL = -1074  # smallest power of two a double can hold
 MAX_LEVEL = 1023  # largest
 MAX_BROADCAST_HOT = 20_000  # hot-cell rows that may be broadcast
-HOT_SAMPLE_ROWS = 4_000_000  # target number of sampled cell rows for hot detection
-DEFAULT_HOT_ROWS = 250_000  # rows of one side in one cell before it is split
+HOT_SAMPLE_ROWS = 200_000  # input rows sampled for hot-cell detection
+DEFAULT_HOT_ROWS = 1_000_000  # rows of one side in one cell before it is split
+DEFAULT_HOT_WORK = 200_000_000  # candidate pairs in one cell before it is split
 _ZERO_EXTENT = -100_000  # exponent recorded for boxes of zero extent
+_INFINITE = 100_000  # exponent recorded for boxes with a non-finite corner
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _q(name: str) -> str:
+    return f"`{name}`"
 
 
-def extent(x1, y1, x2, y2) -> Column:
-    return F.greatest(_c(x2) - _c(x1), _c(y2) - _c(y1))
+def sql_not_nan(*cols: str) -> str:
+    return " AND ".join(f"({_q(c)} IS NOT NULL AND NOT isnan({_q(c)}))" for c in cols)
 
 
-def _exp_of(ext: Column) -> Column:
-    """ceil(log2(extent)) for a positive finite extent, else null."""
-    return F.when(ext > 0, F.ceil(F.log2(ext)).cast("int"))
+def sql_finite(*cols: str) -> str:
+    return " AND ".join(
+        f"({_q(c)} IS NOT NULL AND NOT isnan({_q(c)}) AND abs({_q(c)}) < double('inf'))" for c in cols
+    )
+
+
+def sql_extent(x1, y1, x2, y2) -> str:
+    return f"greatest({_q(x2)} - {_q(x1)}, {_q(y2)} - {_q(y1)})"
+
+
+def sql_exp(ext: str) -> str:
+    """ceil(log2(extent)) for a positive extent, else null."""
+    return f"CASE WHEN {ext} > 0 THEN CAST(ceil(log2({ext})) AS INT) END"
+
+
+def sql_cell(v: str, level: str) -> str:
+    """floor(v / 2**level), clamped so it always fits a BIGINT (``v``/``level`` are SQL).
+
+    Division by a power of two is exact, floor and clamp are monotone, so a
+    point inside [lo, hi] always maps inside [cell(lo), cell(hi)].
+    """
+    return (
+        f"floor(least(greatest(({v}) / power(2.0D, CAST({level} AS DOUBLE)), {-CLAMP!r}D), {CLAMP!r}D))"
+    )
+
+
+def cell_index(v, level) -> Column:
+    """Column form of :func:`sql_cell` for column names."""
+    return F.expr(sql_cell(_q(v), _q(level)))
 
 
 @dataclass(frozen=True)
@@ -78,71 +107,60 @@ class GridPlan:
     b_levels: tuple[int, ...]
     n_a: int = 0
     n_b: int = 0
+    shift: int = 0
 
-    def own_level(self, x1, y1, x2, y2) -> Column:
-        ext = extent(x1, y1, x2, y2)
-        e = F.coalesce(_exp_of(ext), F.lit(self.floor))
-        lvl = F.greatest(e, F.lit(self.floor))
+    def own_level_sql(self, x1, y1, x2, y2) -> str:
+        e = f"coalesce({sql_exp(sql_extent(x1, y1, x2, y2))} - {self.shift}, {self.floor})"
+        lvl = f"greatest({e}, {self.floor})"
         return (
-            F.when(~all_finite(x1, y1, x2, y2) | (lvl > F.lit(MAX_LEVEL)), F.lit(TOP))
-            .otherwise(lvl)
-            .cast("int")
+            f"CAST(CASE WHEN NOT ({sql_finite(x1, y1, x2, y2)}) OR {lvl} > {MAX_LEVEL} "
+            f"THEN {TOP} ELSE {lvl} END AS INT)"
         )
 
 
-def cell_index(v, level) -> Column:
-    """floor(v / 2**level), clamped so it always fits a BIGINT.
-
-    Division by a power of two is exact, floor and clamp are monotone, so a
-    point inside [lo, hi] always maps inside [cell(lo), cell(hi)].
-    """
-    q = _c(v) / F.pow(F.lit(2.0), _c(level).cast("double"))
-    return F.floor(F.least(F.greatest(q, F.lit(-CLAMP)), F.lit(CLAMP)))
-
+def plan_grid(a: DataFrame, a_box, b: DataFrame, b_box, shift: int = 0) -> GridPlan:
+    """One aggregate job over both inputs -> floor level and the exact level set per side.
 
-def _cell_range(lo, hi, level) -> Column:
-    return F.when(_c(level) == F.lit(TOP), F.array(F.lit(0).cast("long"))).otherwise(
-        F.sequence(cell_index(lo, level), cell_index(hi, level))
-    )
+    Groups by (side, ceil(log2(extent))): a code-generated hash aggregate whose
+    output has one row per distinct exponent (a few dozen at most), so the
+    driver receives a bounded summary.  The floor is the count-weighted median
+    exponent of boxes with positive extent, minus ``shift``.
 
-
-def plan_grid(a: DataFrame, a_box, b: DataFrame, b_box) -> GridPlan:
-    """One aggregate job over both inputs: level exponents per side, extent median, bbox."""
+    ``shift`` makes cells ``2**shift`` times finer than the extent of the boxes
+    living on them (a box then spans up to 2**shift + 1 cells per axis): fewer
+    candidate pairs for the price of copying that side into more cells.
+    """
 
     def side(df, box, tag):
-        x1, y1, x2, y2 = (_c(c) for c in box)
-        ext = extent(x1, y1, x2, y2)
-        fin = all_finite(x1, y1, x2, y2)
-        return df.select(
-            F.lit(tag).alias("_side"),
-            F.when(fin, F.coalesce(_exp_of(ext), F.lit(_ZERO_EXTENT))).alias("_e"),
-            F.when(fin & (ext > 0), ext).alias("_ext"),
-            F.when(fin, x1).alias("_x1"),
-            F.when(fin, y1).alias("_y1"),
-            F.when(fin, x2).alias("_x2"),
-            F.when(fin, y2).alias("_y2"),
-            (~fin).alias("_inf"),
+        x1, y1, x2, y2 = box
+        fin = sql_finite(*box)
+        e = f"CASE WHEN {fin} THEN coalesce({sql_exp(sql_extent(*box))}, {_ZERO_EXTENT}) ELSE {_INFINITE} END"
+        return df.selectExpr(
+            f"'{tag}' AS _side",
+            f"{e} AS _e",
+            *[f"CASE WHEN {fin} THEN {_q(c)} END AS _{n}" for c, n in zip(box, ("x1", "y1", "x2", "y2"))],
         )
 
     both = side(a, a_box, "a").unionByName(side(b, b_box, "b"))
     rows = (
-        both.groupBy("_side")
+        both.groupBy("_side", "_e")
         .agg(
-            F.collect_set("_e").alias("exps"),
-            F.percentile_approx("_ext", 0.5, 1000).alias("med"),
             F.count(F.lit(1)).alias("n"),
             F.min("_x1").alias("minx"),
             F.min("_y1").alias("miny"),
             F.max("_x2").alias("maxx"),
             F.max("_y2").alias("maxy"),
-            F.max(F.col("_inf").cast("int")).alias("has_inf"),
         )
         .collect()
     )
-    by = {r["_side"]: r for r in rows}
-    meds = [r["med"] for r in rows if r["med"] is not None]
-    if meds:
-        floor = math.ceil(math.log2(max(meds)))
+    positive = sorted((r["_e"], r["n"]) for r in rows if r["_e"] not in (_ZERO_EXTENT, _INFINITE))
+    if positive:
+        half, run = sum(n for _, n in positive) / 2.0, 0
+        for e, n in positive:
+            run += n
+            if run >= half:
+                floor = e - shift
+                break
     else:
         # no box has a positive extent: size cells from the bounding box and count
         boxes = [r for r in rows if r["minx"] is not None]
@@ -158,81 +176,95 @@ def plan_grid(a: DataFrame, a_box, b: DataFrame, b_box) -> GridPlan:
     floor = max(MIN_LEVEL, min(MAX_LEVEL, floor))
 
     def levels(tag):
-        r = by.get(tag)
-        if r is None:
-            return ()
-        # zero-extent boxes (points) carry the sentinel and so sit at the floor
-        out = {max(floor, e) for e in (r["exps"] or [])}
-        out = {lv if lv <= MAX_LEVEL else TOP for lv in out}
-        if r["has_inf"]:
-            out.add(TOP)
+        out = set()
+        for r in rows:
+            if r["_side"] != tag:
+                continue
+            e = r["_e"]
+            if e == _INFINITE:
+                out.add(TOP)
+            else:
+                lv = max(floor, e - shift)  # zero extent (sentinel) sits at the floor
+                out.add(lv if lv <= MAX_LEVEL else TOP)
         return tuple(sorted(out))
 
     def count(tag):
-        r = by.get(tag)
-        return int(r["n"]) if r is not None else 0
+        return int(sum(r["n"] for r in rows if r["_side"] == tag))
 
     return GridPlan(
-        floor=floor, a_levels=levels("a"), b_levels=levels("b"), n_a=count("a"), n_b=count("b")
+        floor=floor,
+        a_levels=levels("a"),
+        b_levels=levels("b"),
+        n_a=count("a"),
+        n_b=count("b"),
+        shift=shift,
     )
 
 
-def emit_cells(df: DataFrame, box, own: Column, other_levels, p: str) -> DataFrame:
+def emit_cells(df: DataFrame, box, plan: GridPlan, other_levels, p: str) -> DataFrame:
     """Copy every row into the cells it covers at its own level and the other side's higher levels.
 
-    Adds ``{p}own`` (own level), ``{p}lvl``, ``{p}cx``, ``{p}cy``.
+    Adds ``{p}own`` (own level), ``{p}lvl``, ``{p}cx``, ``{p}cy``.  Written
+    without higher-order functions so the projection stays in codegen; a
+    zero-extent side (point) takes one cell per level without ``explode``.
     """
     x1, y1, x2, y2 = box
-    df = df.withColumn(f"{p}own", own)
-    o = F.col(f"{p}own")
-    if other_levels:
-        lo = min(other_levels)
-        lits = [F.lit(int(v)) for v in sorted(set(other_levels))]
-        levels = F.filter(
-            F.array_distinct(F.array(o, *lits)),
-            lambda lv: (lv > o) | ((lv == o) & (o >= F.lit(lo))),
+    own, lvl = f"{p}own", f"{p}lvl"
+    df = df.selectExpr("*", f"{plan.own_level_sql(*box)} AS {own}")
+    if not other_levels:
+        return df.selectExpr("*", f"CAST(NULL AS INT) AS {lvl}", f"0L AS {p}cx", f"0L AS {p}cy").filter(F.lit(False))
+    lo = min(other_levels)
+    # own level when some partner sits at or below it, plus every higher partner level
+    options = [f"CASE WHEN {own} >= {lo} THEN {own} END"] + [
+        f"CASE WHEN {int(v)} > {own} THEN {int(v)} END" for v in sorted(set(other_levels))
+    ]
+    df = df.selectExpr("*", f"explode(array({', '.join(options)})) AS {lvl}").filter(F.col(lvl).isNotNull())
+    top = f"{lvl} = {TOP}"
+    if x1 == x2 and y1 == y2:
+        return df.selectExpr(
+            "*",
+            f"CASE WHEN {top} THEN 0L ELSE {sql_cell(_q(x1), lvl)} END AS {p}cx",
+            f"CASE WHEN {top} THEN 0L ELSE {sql_cell(_q(y1), lvl)} END AS {p}cy",
         )
-    else:
-        levels = F.array().cast("array<int>")
-    lvl = F.col(f"{p}lvl")
-    return (
-        df.withColumn(f"{p}lvl", F.explode(levels))
-        .withColumn(f"{p}cx", F.explode(_cell_range(x1, x2, lvl)))
-        .withColumn(f"{p}cy", F.explode(_cell_range(y1, y2, lvl)))
+
+    def rng(lo_c, hi_c):
+        return f"CASE WHEN {top} THEN array(0L) ELSE sequence({sql_cell(_q(lo_c), lvl)}, {sql_cell(_q(hi_c), lvl)}) END"
+
+    return df.selectExpr("*", f"explode({rng(x1, x2)}) AS {p}cx").selectExpr(
+        "*", f"explode({rng(y1, y2)}) AS {p}cy"
     )
 
 
-def _hot_cells(a_cells: DataFrame, b_cells: DataFrame, hot_rows: int, total_rows: int):
-    """Cells where one side has more than ``hot_rows`` rows, with salt counts per side.
+def _hot_cells(a_cells: DataFrame, b_cells: DataFrame, frac: float, hot_rows: int, hot_work: int):
+    """Cells too big for one task, with salt counts per side.
 
-    Counts come from a deterministic sample of about HOT_SAMPLE_ROWS cell rows,
-    so this pass shuffles a bounded amount whatever the input size.  Returns a
-    DataFrame ``(lvl, cx, cy, sa, sb)`` or None when no cell is hot.
+    ``a_cells``/``b_cells`` are cell rows of a ``frac`` sample of the inputs
+    (sampled before emission, so this pass shuffles a bounded amount whatever
+    the input size); counts are scaled back by ``1/frac``.  A cell is hot when
+    one side has more than ``hot_rows`` rows or it holds more than ``hot_work``
+    candidate pairs.  The larger side is split so each task gets about
+    ``hot_work`` pairs; a side above ``hot_rows`` is split regardless, so both
+    sides are split when both are large.  Returns ``(lvl, cx, cy, sa, sb)`` or
+    None when no cell is hot.
     """
-    frac = min(1.0, HOT_SAMPLE_ROWS / max(1, total_rows))
-    tagged = a_cells.select(
-        F.col("_alvl").alias("lvl"), F.col("_acx").alias("cx"), F.col("_acy").alias("cy"),
-        F.lit(1).alias("na"), F.lit(0).alias("nb"),
-    ).unionByName(
-        b_cells.select(
-            F.col("_blvl").alias("lvl"), F.col("_bcx").alias("cx"), F.col("_bcy").alias("cy"),
-            F.lit(0).alias("na"), F.lit(1).alias("nb"),
-        )
+    tagged = a_cells.selectExpr("_alvl AS lvl", "_acx AS cx", "_acy AS cy", "1 AS na", "0 AS nb").unionByName(
+        b_cells.selectExpr("_blvl AS lvl", "_bcx AS cx", "_bcy AS cy", "0 AS na", "1 AS nb")
     )
-    if frac < 1.0:
-        tagged = tagged.sample(fraction=frac, seed=7)
+    f = repr(float(frac))
     hot = (
         tagged.groupBy("lvl", "cx", "cy")
-        .agg((F.sum("na") / F.lit(frac)).alias("ea"), (F.sum("nb") / F.lit(frac)).alias("eb"))
-        .filter((F.col("ea") > hot_rows) | (F.col("eb") > hot_rows))
-        .select(
-            "lvl", "cx", "cy",
-            F.greatest(F.lit(1), F.ceil(F.col("ea") / hot_rows)).cast("long").alias("sa"),
-            F.greatest(F.lit(1), F.ceil(F.col("eb") / hot_rows)).cast("long").alias("sb"),
+        .agg(F.expr(f"sum(na) / {f}D").alias("ea"), F.expr(f"sum(nb) / {f}D").alias("eb"))
+        .filter(f"ea > {hot_rows} OR eb > {hot_rows} OR ea * eb > {hot_work}")
+        .selectExpr(
+            "lvl",
+            "cx",
+            "cy",
+            f"CAST(greatest(1, ceil(ea / {hot_rows}), CASE WHEN ea >= eb THEN ceil(ea * eb / {hot_work}) END) AS BIGINT) AS sa",
+            f"CAST(greatest(1, ceil(eb / {hot_rows}), CASE WHEN ea < eb THEN ceil(ea * eb / {hot_work}) END) AS BIGINT) AS sb",
         )
     )
-    # Hot cells number at most total_rows / hot_rows.  Small sets are broadcast
-    # (size checked here); larger ones are materialised and shuffle-joined.
+    # Small sets of hot cells are broadcast (size checked here); larger ones are
+    # materialised in the checkpoint directory and joined by shuffle.
     few = hot.limit(MAX_BROADCAST_HOT + 1).collect()
     if not few:
         return None
@@ -245,21 +277,13 @@ def _hot_cells(a_cells: DataFrame, b_cells: DataFrame, hot_rows: int, total_rows
 
 def _salt(df: DataFrame, hot: DataFrame, p: str, mine: str, theirs: str, hash_cols) -> DataFrame:
     """Salt rows of hot cells: a hashed bucket for this side, a copy per bucket of the other side."""
-    h = hot.select(
-        F.col("lvl").alias(f"{p}hl"), F.col("cx").alias(f"{p}hx"), F.col("cy").alias(f"{p}hy"),
-        F.col(mine).alias(f"{p}nm"), F.col(theirs).alias(f"{p}nt"),
-    )
-    df = df.join(
-        h,
-        (F.col(f"{p}lvl") == F.col(f"{p}hl")) & (F.col(f"{p}cx") == F.col(f"{p}hx"))
-        & (F.col(f"{p}cy") == F.col(f"{p}hy")),
-        "left",
-    )
-    n_mine = F.coalesce(F.col(f"{p}nm"), F.lit(1).cast("long"))
-    n_theirs = F.coalesce(F.col(f"{p}nt"), F.lit(1).cast("long"))
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), n_mine)
-    df = df.withColumn(f"{p}s_{mine}", bucket).withColumn(
-        f"{p}s_{theirs}", F.explode(F.sequence(F.lit(0).cast("long"), n_theirs - 1))
+    h = hot.selectExpr(f"lvl AS {p}hl", f"cx AS {p}hx", f"cy AS {p}hy", f"{mine} AS {p}nm", f"{theirs} AS {p}nt")
+    df = df.join(h, F.expr(f"{p}lvl = {p}hl AND {p}cx = {p}hx AND {p}cy = {p}hy"), "left")
+    cols = ", ".join(_q(c) for c in hash_cols)
+    df = df.selectExpr(
+        "*",
+        f"pmod(xxhash64({cols}), coalesce({p}nm, 1L)) AS {p}s_{mine}",
+        f"explode(sequence(0L, coalesce({p}nt, 1L) - 1)) AS {p}s_{theirs}",
     )
     return df.drop(f"{p}hl", f"{p}hx", f"{p}hy", f"{p}nm", f"{p}nt")
 
@@ -272,6 +296,7 @@ def grid_join(
     predicate: Column,
     *,
     hot_rows: int = DEFAULT_HOT_ROWS,
+    hot_work: int = DEFAULT_HOT_WORK,
 ) -> DataFrame:
     """All (a row, b row) pairs whose boxes overlap and ``predicate`` holds.
 
@@ -282,42 +307,41 @@ def grid_join(
     input rows (duplicates on either side are kept).
     """
     a_cols, b_cols = list(a.columns), list(b.columns)
-    a = a.filter(_nan_free(a_box))
-    b = b.filter(_nan_free(b_box))
-    plan = plan_grid(a, a_box, b, b_box)
+    a = a.filter(sql_not_nan(*set(a_box)))
+    b = b.filter(sql_not_nan(*set(b_box)))
+    a_point = a_box[0] == a_box[2] and a_box[1] == a_box[3]
+    plan = plan_grid(a, a_box, b, b_box, shift=1 if a_point else 0)
     if not plan.a_levels or not plan.b_levels:
         return a.join(b, F.lit(False), "inner").select(*a_cols, *b_cols)
 
-    a_cells = emit_cells(a, a_box, plan.own_level(*a_box), plan.b_levels, "_a")
-    b_cells = emit_cells(b, b_box, plan.own_level(*b_box), plan.a_levels, "_b")
+    a_cells = emit_cells(a, a_box, plan, plan.b_levels, "_a")
+    b_cells = emit_cells(b, b_box, plan, plan.a_levels, "_b")
 
     keys = ["lvl", "cx", "cy"]
-    # upper bound on cell rows: a row lands in <= 9 cells per emitted level
-    total = 9 * (plan.n_a * len(plan.b_levels) + plan.n_b * len(plan.a_levels))
-    hot = _hot_cells(a_cells, b_cells, hot_rows, total_rows=total)
+    hot = None
+    # skip the pass when no cell can be hot: every cell is within both limits
+    if plan.n_a > hot_rows or plan.n_b > hot_rows or plan.n_a * plan.n_b > hot_work:
+        frac = min(1.0, HOT_SAMPLE_ROWS / max(1, plan.n_a + plan.n_b))
+        a_s = a if frac >= 1.0 else a.sample(fraction=frac, seed=7)
+        b_s = b if frac >= 1.0 else b.sample(fraction=frac, seed=11)
+        hot = _hot_cells(
+            emit_cells(a_s, a_box, plan, plan.b_levels, "_a"),
+            emit_cells(b_s, b_box, plan, plan.a_levels, "_b"),
+            frac,
+            hot_rows,
+            hot_work,
+        )
     if hot is not None:
         a_cells = _salt(a_cells, hot, "_a", "sa", "sb", a_cols)
         b_cells = _salt(b_cells, hot, "_b", "sb", "sa", b_cols)
         keys = keys + ["s_sa", "s_sb"]
 
-    cond = None
-    for k in keys:
-        eq = F.col(f"_a{k}") == F.col(f"_b{k}")
-        cond = eq if cond is None else cond & eq
-    lvl = F.col("_alvl")
-    ref_x = cell_index(F.greatest(_c(a_box[0]), _c(b_box[0])), lvl)
-    ref_y = cell_index(F.greatest(_c(a_box[1]), _c(b_box[1])), lvl)
-    once = (lvl == F.greatest(F.col("_aown"), F.col("_bown"))) & (
-        (lvl == F.lit(TOP)) | ((ref_x == F.col("_acx")) & (ref_y == F.col("_acy")))
-    )
-    joined = a_cells.join(b_cells, cond, "inner")
-    return joined.filter(once & predicate).select(*a_cols, *b_cols)
-
-
-def _nan_free(box) -> Column:
-    """Allow infinite coordinates but not NaN/null."""
-    cond = F.lit(True)
-    for c in box:
-        c = _c(c)
-        cond = cond & c.isNotNull() & ~F.isnan(c)
-    return cond
+    cond = " AND ".join(f"_a{k} = _b{k}" for k in keys)
+    once = "_alvl = greatest(_aown, _bown)"
+    if not a_point:
+        # a point sits in one cell per level; boxes need the reference-cell rule
+        rx = sql_cell(f"greatest({_q(a_box[0])}, {_q(b_box[0])})", "_alvl")
+        ry = sql_cell(f"greatest({_q(a_box[1])}, {_q(b_box[1])})", "_alvl")
+        once += f" AND (_alvl = {TOP} OR ({rx} = _acx AND {ry} = _acy))"
+    joined = a_cells.join(b_cells, F.expr(cond) & predicate & F.expr(once), "inner")
+    return joined.select(*a_cols, *b_cols)
