@@ -84,6 +84,30 @@ def q_envelope(spark, d):
     return ops.envelope(fixture(spark, d, "rect_supp_many"))
 
 
+def q_closest_pair(spark, d):
+    return ops.closest_pair(fixture(spark, d, "pts_ord"))
+
+
+def q_closest_pair_cust(spark, d):
+    return ops.closest_pair(fixture(spark, d, "pts_cust"))
+
+
+def q_convex_hull(spark, d):
+    return ops.convex_hull(fixture(spark, d, "pts_emb"))
+
+
+def q_convex_hull_cust(spark, d):
+    return ops.convex_hull(fixture(spark, d, "pts_cust"))
+
+
+def q_farthest_pair(spark, d):
+    return ops.farthest_pair(fixture(spark, d, "pts_ord"))
+
+
+def q_farthest_pair_emb(spark, d):
+    return ops.farthest_pair(fixture(spark, d, "pts_emb"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "points_on_border": q_points_on_border,
@@ -96,6 +120,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "grid_aggregate": q_grid_aggregate,
     "distinct_points": q_distinct_points,
     "envelope": q_envelope,
+    "closest_pair": q_closest_pair,
+    "closest_pair_cust": q_closest_pair_cust,
+    "convex_hull": q_convex_hull,
+    "convex_hull_cust": q_convex_hull_cust,
+    "farthest_pair": q_farthest_pair,
+    "farthest_pair_emb": q_farthest_pair_emb,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -125,6 +155,35 @@ _RECT_ENDPOINT = (
 )
 _RECT_CONTAINS = "a.x1 <= b.x1 AND a.x2 >= b.x2 AND a.y1 <= b.y1 AND a.y2 >= b.y2"
 
+
+def _distinct(fx: str) -> str:
+    return _with(fx) + f", p AS (SELECT DISTINCT x, y FROM {fx} WHERE isfinite(x) AND isfinite(y)) "
+
+
+_D2 = "(a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)"
+
+
+def _pair_sql(fx: str, desc: bool) -> str:
+    order = f"{_D2} DESC" if desc else _D2
+    return _distinct(fx) + (
+        f'SELECT a.x AS ax, a.y AS ay, b.x AS bx, b.y AS "by", sqrt({_D2}) AS distance '
+        "FROM p a JOIN p b ON a.x < b.x OR (a.x = b.x AND a.y < b.y) "
+        f"ORDER BY {order}, a.x, a.y, b.x, b.y LIMIT 1"
+    )
+
+
+def _hull_sql(fx: str) -> str:
+    # a point is a hull vertex when the other points leave an angular gap wider than pi around it
+    return _distinct(fx) + (
+        ", ang AS (SELECT a.x, a.y, atan2(b.y - a.y, b.x - a.x) AS t FROM p a JOIN p b ON a.x <> b.x OR a.y <> b.y)"
+        ", o AS (SELECT x, y, t, lead(t) OVER (PARTITION BY x, y ORDER BY t) AS nt, "
+        "min(t) OVER (PARTITION BY x, y) AS t0 FROM ang)"
+        ", g AS (SELECT x, y, max(coalesce(nt - t, t0 + 2 * pi() - t)) AS gap FROM o GROUP BY x, y) "
+        "SELECT x, y FROM g WHERE gap > pi() + 1e-9 "
+        "UNION ALL SELECT x, y FROM p WHERE (SELECT count(*) FROM p) = 1"
+    )
+
+
 ORACLE: dict[str, str] = {
     "range_query": _with("pts_emb")
     + f"SELECT id FROM pts_emb WHERE x >= {_ex1} AND x <= {_ex2} AND y >= {_ey1} AND y <= {_ey2}",
@@ -147,6 +206,12 @@ ORACLE: dict[str, str] = {
     + f"SELECT CAST(floor(x / {_D(GRID_W)}) AS BIGINT) AS cx, CAST(floor(y / {_D(GRID_H)}) AS BIGINT) AS cy, "
     "count(*) AS n_points, min(x) AS min_value, max(x) AS max_value FROM pts_ord "
     "WHERE NOT isnan(x) AND NOT isnan(y) GROUP BY 1, 2",
+    "closest_pair": _pair_sql("pts_ord", desc=False),
+    "closest_pair_cust": _pair_sql("pts_cust", desc=False),
+    "convex_hull": _hull_sql("pts_emb"),
+    "convex_hull_cust": _hull_sql("pts_cust"),
+    "farthest_pair": _pair_sql("pts_ord", desc=True),
+    "farthest_pair_emb": _pair_sql("pts_emb", desc=True),
     "distinct_points": _with("pts_cust") + "SELECT DISTINCT x, y FROM pts_cust WHERE NOT isnan(x) AND NOT isnan(y)",
     "envelope": _with("rect_supp_many")
     + "SELECT DISTINCT x, y FROM (SELECT min(least(x1, x2)) AS lx, min(least(y1, y2)) AS ly, "
