@@ -108,6 +108,14 @@ def q_farthest_pair_emb(spark, d):
     return ops.farthest_pair(fixture(spark, d, "pts_emb"))
 
 
+def q_union_boundary(spark, d):
+    return ops.rectangle_union(fixture(spark, d, "rect_supp_one"))
+
+
+def q_union_envelope(spark, d):
+    return ops.rectangle_union(fixture(spark, d, "rect_supp_many"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "points_on_border": q_points_on_border,
@@ -126,6 +134,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "convex_hull_cust": q_convex_hull_cust,
     "farthest_pair": q_farthest_pair,
     "farthest_pair_emb": q_farthest_pair_emb,
+    "union_boundary": q_union_boundary,
+    "union_envelope": q_union_envelope,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -184,6 +194,39 @@ def _hull_sql(fx: str) -> str:
     )
 
 
+def _union_sql(fx: str) -> str:
+    """Union oracle: parts by recursive reachability over the rectangles, vertices from a
+    compressed coordinate grid whose cells are covered or not."""
+    ov_x, ov_y = "least(a.x2, b.x2) - greatest(a.x1, b.x1)", "least(a.y2, b.y2) - greatest(a.y1, b.y1)"
+    return (
+        f"WITH RECURSIVE {fx} AS ({FIXTURE_SQL[fx]}), "
+        "r AS (SELECT DISTINCT least(x1, x2) AS x1, least(y1, y2) AS y1, greatest(x1, x2) AS x2, "
+        f"greatest(y1, y2) AS y2 FROM {fx} WHERE isfinite(x1) AND isfinite(y1) AND isfinite(x2) AND isfinite(y2)), "
+        "rr AS (SELECT * FROM r WHERE x1 < x2 AND y1 < y2), "
+        "n AS (SELECT row_number() OVER (ORDER BY x1, y1, x2, y2) AS id, * FROM rr), "
+        f"e AS (SELECT a.id AS s, b.id AS d FROM n a JOIN n b ON {ov_x} >= 0 AND {ov_y} >= 0 "
+        f"AND ({ov_x} > 0 OR {ov_y} > 0)), "
+        "reach(s, d) AS (SELECT s, d FROM e UNION SELECT reach.s, e.d FROM reach JOIN e ON reach.d = e.s), "
+        "parts AS (SELECT count(DISTINCT m) AS c FROM (SELECT s, min(d) AS m FROM reach GROUP BY s)), "
+        "xi AS (SELECT x, row_number() OVER (ORDER BY x) AS i FROM (SELECT x1 AS x FROM rr UNION SELECT x2 FROM rr)), "
+        "yj AS (SELECT y, row_number() OVER (ORDER BY y) AS j FROM (SELECT y1 AS y FROM rr UNION SELECT y2 FROM rr)), "
+        "cov AS (SELECT DISTINCT xi.i, yj.j FROM rr JOIN xi ON rr.x1 <= xi.x AND xi.x < rr.x2 "
+        "JOIN yj ON rr.y1 <= yj.y AND yj.y < rr.y2), "
+        "mk AS (SELECT xi.x, yj.y, "
+        "max(CASE WHEN c.i = xi.i AND c.j = yj.j THEN 1 ELSE 0 END) AS ne, "
+        "max(CASE WHEN c.i = xi.i - 1 AND c.j = yj.j THEN 1 ELSE 0 END) AS nw, "
+        "max(CASE WHEN c.i = xi.i - 1 AND c.j = yj.j - 1 THEN 1 ELSE 0 END) AS sw, "
+        "max(CASE WHEN c.i = xi.i AND c.j = yj.j - 1 THEN 1 ELSE 0 END) AS se "
+        "FROM xi, yj, cov c WHERE c.i BETWEEN xi.i - 1 AND xi.i AND c.j BETWEEN yj.j - 1 AND yj.j "
+        "GROUP BY xi.x, yj.y), "
+        "bnd AS (SELECT x, y FROM mk WHERE ne + nw + sw + se IN (1, 3) OR (ne + nw + sw + se = 2 AND ne = sw)), "
+        "env AS (SELECT DISTINCT x, y FROM (SELECT min(x1) AS lx, min(y1) AS ly, max(x2) AS hx, max(y2) AS hy "
+        "FROM rr) b, LATERAL (VALUES (lx, ly), (lx, hy), (hx, ly), (hx, hy)) AS t(x, y) WHERE lx IS NOT NULL) "
+        "SELECT x, y FROM bnd WHERE (SELECT c FROM parts) = 1 "
+        "UNION ALL SELECT x, y FROM env WHERE (SELECT c FROM parts) > 1"
+    )
+
+
 ORACLE: dict[str, str] = {
     "range_query": _with("pts_emb")
     + f"SELECT id FROM pts_emb WHERE x >= {_ex1} AND x <= {_ex2} AND y >= {_ey1} AND y <= {_ey2}",
@@ -212,6 +255,8 @@ ORACLE: dict[str, str] = {
     "convex_hull_cust": _hull_sql("pts_cust"),
     "farthest_pair": _pair_sql("pts_ord", desc=True),
     "farthest_pair_emb": _pair_sql("pts_emb", desc=True),
+    "union_boundary": _union_sql("rect_supp_one"),
+    "union_envelope": _union_sql("rect_supp_many"),
     "distinct_points": _with("pts_cust") + "SELECT DISTINCT x, y FROM pts_cust WHERE NOT isnan(x) AND NOT isnan(y)",
     "envelope": _with("rect_supp_many")
     + "SELECT DISTINCT x, y FROM (SELECT min(least(x1, x2)) AS lx, min(least(y1, y2)) AS ly, "
