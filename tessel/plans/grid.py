@@ -44,6 +44,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessel.plans.partitioning import spread
 from tessel.session import ensure_checkpoint_dir
 
 # Fixed values of the plan (not tuning knobs of the data):
@@ -336,6 +337,8 @@ def grid_join(
         b_cells = _salt(b_cells, hot, "_b", "sb", "sa", b_cols)
         keys = keys + ["s_sa", "s_sb"]
 
+    a_cells = spread(a_cells, *[f"_a{k}" for k in keys])
+    b_cells = spread(b_cells, *[f"_b{k}" for k in keys])
     cond = " AND ".join(f"_a{k} = _b{k}" for k in keys)
     once = "_alvl = greatest(_aown, _bown)"
     if not a_point:
