@@ -25,7 +25,6 @@ them; use the pairs form when one rectangle may match a large share of A.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,22 +124,34 @@ def spatial_join_pairs(
 _B_KEY = ["bid", "bx1", "by1", "bx2", "by2", "bok"]
 
 
-def _per_b_row(b: DataFrame, b_id: str, pairs_of, aggs: list[Column], fill: dict) -> DataFrame:
-    """Aggregate pairs per B row (duplicates each keep their result) and left-join back to B."""
+def _row_key(distinct_b: DataFrame) -> list[str]:
+    """Narrowest key that names one distinct B row: ``bid`` alone when no id is shared by
+    two different rectangles (one small job over B), else every B column."""
+    shared = distinct_b.groupBy("bid").count().filter("count > 1").limit(1).count()
+    return list(_B_KEY) if shared else ["bid"]
+
+
+def _per_b_row(b: DataFrame, b_id: str, pairs_of, aggs: list[Column]) -> DataFrame:
+    """Aggregate pairs per B row; every B row (duplicates included) gets one output row.
+
+    Pairs are computed against distinct B rows.  B's own rows are then added
+    to the pairs with a null ``aid`` and weight 1, and one ``groupBy`` on the
+    narrowest key naming a B row yields both the aggregates (which skip nulls,
+    so a B row without partners gets an empty list / zero count) and the
+    number of identical B rows, which ``explode`` turns back into that many
+    output rows.  No join back to B, no row ids.
+    """
     bn = _norm_rect(b, "b", b_id)
     distinct_b = bn.dropDuplicates(_B_KEY)
-    grouped = pairs_of(distinct_b).groupBy(*_B_KEY).agg(*aggs)
-    values = grouped.columns[len(_B_KEY):]
-    g = grouped.select(*[F.col(k).alias(f"_g_{k}") for k in _B_KEY], *values)
-    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in _B_KEY])
-    out = bn.join(g, cond, "left")
-    cols = [F.col("bid")]
-    for name in values:
-        c = F.col(name)
-        if name in fill:
-            c = F.coalesce(c, fill[name])
-        cols.append(c.alias(name))
-    return out.select(*cols)
+    key = _row_key(distinct_b)
+    pairs = pairs_of(distinct_b)
+    extra = [c for c in pairs.columns if c not in _B_KEY]
+    tagged = pairs.select(*key, *extra, F.lit(0).alias("_w")).unionByName(
+        bn.select(*key, *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in extra], F.lit(1).alias("_w"))
+    )
+    grouped = tagged.groupBy(*key).agg(*aggs, F.sum("_w").alias("_mult"))
+    values = [c for c in grouped.columns if c not in key and c != "_mult"]
+    return grouped.select("bid", *values, F.explode(F.sequence(F.lit(1), F.col("_mult").cast("int"))).alias("_k")).drop("_k")
 
 
 def spatial_join(a: DataFrame, b: DataFrame, predicate: str | None = None, *, a_id="id", b_id="id") -> DataFrame:
@@ -150,12 +161,11 @@ def spatial_join(a: DataFrame, b: DataFrame, predicate: str | None = None, *, a_
         b_id,
         lambda bd: _pairs(a, bd, predicate, a_id),
         [F.array_sort(F.collect_list("aid")).alias("aids")],
-        {"aids": F.array().cast("array<bigint>")},
     )
 
 
 def spatial_join_text(a: DataFrame, b: DataFrame, predicate: str | None = None, *, a_id="id", b_id="id") -> DataFrame:
     """``(bid, aids)`` with ``aids`` as line text: ``"3,7,7"`` or ``"NULL"``."""
     lists = spatial_join(a, b, predicate, a_id=a_id, b_id=b_id)
-    ids = F.concat_ws(",", F.transform(F.col("aids"), lambda v: v.cast("string")))
+    ids = F.array_join(F.col("aids").cast("array<string>"), ",")
     return lists.select("bid", F.when(F.size("aids") > 0, ids).otherwise(F.lit("NULL")).alias("aids"))
