@@ -21,35 +21,44 @@ from pyspark.sql import functions as F
 from tessel.session import ensure_checkpoint_dir
 
 MAX_ROUNDS = 200
+BROADCAST_NODES = 2_000_000  # node tables up to this many rows (~32 MB) are broadcast
 JUMPS = 1  # pointer-jumping steps per round (2 measured slower: more joins per round)
 log = logging.getLogger(__name__)
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, n_nodes: int | None = None) -> DataFrame:
     """``nodes(id)``, ``edges(src, dst)`` (either direction) -> ``(id, label)``.
 
     ``label`` is the smallest node id of the node's component.  ``nodes``
-    should be cheap to re-read (a checkpointed or stored table).
+    should be cheap to re-read (a checkpointed or stored table).  When
+    ``n_nodes`` is given and at most ``BROADCAST_NODES``, the per-node tables
+    (two longs a row) are broadcast into the joins; otherwise every join is a
+    shuffle join.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
+    small = n_nodes is not None and n_nodes <= BROADCAST_NODES
+
+    def bc(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
     und = edges.selectExpr("src", "dst").unionByName(edges.selectExpr("dst AS src", "src AS dst"))
     und = und.filter("src <> dst").dropDuplicates().checkpoint(eager=True)
     labels = nodes.selectExpr("id", "id AS label")
     for rnd in range(MAX_ROUNDS):
         # smallest label among each node's neighbours
         nb = (
-            und.join(labels.withColumnRenamed("id", "src"), "src")
+            und.join(bc(labels.withColumnRenamed("id", "src")), "src")
             .groupBy("dst")
             .agg(F.min("label").alias("nl"))
             .withColumnRenamed("dst", "id")
         )
-        step = labels.join(nb, "id", "left").selectExpr("id", "least(label, coalesce(nl, label)) AS label")
+        step = labels.join(bc(nb), "id", "left").selectExpr("id", "least(label, coalesce(nl, label)) AS label")
         # pointer jumping: take the label of the label
         jumped = step
         for _ in range(JUMPS):
             hop = jumped.selectExpr("id AS lid", "label AS ll")
-            jumped = jumped.join(hop, F.expr("label = lid"), "left").selectExpr(
+            jumped = jumped.join(bc(hop), F.expr("label = lid"), "left").selectExpr(
                 "id", "least(label, coalesce(ll, label)) AS label"
             )
         labels = jumped.checkpoint(eager=True)
@@ -57,8 +66,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         # then constant on each component and, since a component's smallest id can
         # only carry itself, equal to that smallest id.
         split = (
-            und.join(labels.selectExpr("id AS src", "label AS ls"), "src")
-            .join(labels.selectExpr("id AS dst", "label AS ld"), "dst")
+            und.join(bc(labels.selectExpr("id AS src", "label AS ls")), "src")
+            .join(bc(labels.selectExpr("id AS dst", "label AS ld")), "dst")
             .filter("ls <> ld")
             .limit(1)
             .count()
