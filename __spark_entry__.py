@@ -50,6 +50,14 @@ def q_join_point_list(spark, d):
     return ops.spatial_join_text(fixture(spark, d, "pts_line"), fixture(spark, d, "rect_part"), "within")
 
 
+def q_join_point_border(spark, d):
+    return ops.spatial_join_pairs(fixture(spark, d, "pts_line"), fixture(spark, d, "rect_part"), "on_border")
+
+
+def q_join_rect_pairs(spark, d):
+    return ops.spatial_join_pairs(fixture(spark, d, "rect_cust"), fixture(spark, d, "rect_part"), "intersects")
+
+
 def q_join_rect_intersects(spark, d):
     return ops.spatial_join_text(fixture(spark, d, "rect_cust"), fixture(spark, d, "rect_part"), "intersects")
 
@@ -121,6 +129,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "points_on_border": q_points_on_border,
     "join_point_pairs": q_join_point_pairs,
     "join_point_list": q_join_point_list,
+    "join_point_border": q_join_point_border,
+    "join_rect_pairs": q_join_rect_pairs,
     "join_rect_intersects": q_join_rect_intersects,
     "join_rect_endpoint": q_join_rect_endpoint,
     "join_rect_contains": q_join_rect_contains,
@@ -236,6 +246,11 @@ ORACLE: dict[str, str] = {
     "join_point_pairs": _with("pts_line", "rect_part")
     + f"SELECT b.id AS bid, a.id AS aid FROM rect_part b JOIN pts_line a ON {_PT_IN}",
     "join_point_list": _with("pts_line", "rect_part") + _LIST.format(b="rect_part", a="pts_line", cond=_PT_IN),
+    "join_point_border": _with("pts_line", "rect_part")
+    + f"SELECT b.id AS bid, a.id AS aid FROM rect_part b JOIN pts_line a ON {_PT_IN} "
+    "AND (a.x = b.x1 OR a.x = b.x2 OR a.y = b.y1 OR a.y = b.y2)",
+    "join_rect_pairs": _with("rect_cust", "rect_part")
+    + f"SELECT b.id AS bid, a.id AS aid FROM rect_part b JOIN rect_cust a ON {_RECT_INTERSECTS}",
     "join_rect_intersects": _with("rect_cust", "rect_part")
     + _LIST.format(b="rect_part", a="rect_cust", cond=_RECT_INTERSECTS),
     "join_rect_endpoint": _with("rect_cust", "rect_part")
