@@ -43,6 +43,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessel.plans.partitioning import spread
 from tessel.session import ensure_checkpoint_dir
@@ -312,8 +313,9 @@ def grid_join(
     b = b.filter(sql_not_nan(*set(b_box)))
     a_point = a_box[0] == a_box[2] and a_box[1] == a_box[3]
     plan = plan_grid(a, a_box, b, b_box, shift=1 if a_point else 0)
-    if not plan.a_levels or not plan.b_levels:
-        return a.join(b, F.lit(False), "inner").select(*a_cols, *b_cols)
+    if not plan.a_levels or not plan.b_levels:  # one side has no usable rows
+        schema = T.StructType([a.schema[c] for c in a_cols] + [b.schema[c] for c in b_cols])
+        return a.sparkSession.createDataFrame([], schema)
 
     a_cells = emit_cells(a, a_box, plan, plan.b_levels, "_a")
     b_cells = emit_cells(b, b_box, plan, plan.a_levels, "_b")
