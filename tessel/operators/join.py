@@ -124,10 +124,12 @@ def spatial_join_pairs(
 _B_KEY = ["bid", "bx1", "by1", "bx2", "by2", "bok"]
 
 
-def _row_key(distinct_b: DataFrame) -> list[str]:
+def _row_key(bn: DataFrame) -> list[str]:
     """Narrowest key that names one distinct B row: ``bid`` alone when no id is shared by
     two different rectangles (one small job over B), else every B column."""
-    shared = distinct_b.groupBy("bid").count().filter("count > 1").limit(1).count()
+    key = F.struct(*[F.col(c) for c in _B_KEY[1:]])
+    per_id = bn.groupBy("bid").agg((F.min(key) != F.max(key)).alias("shared"))
+    shared = per_id.agg(F.max(F.col("shared").cast("int")).alias("s")).collect()[0]["s"]
     return list(_B_KEY) if shared else ["bid"]
 
 
@@ -143,7 +145,7 @@ def _per_b_row(b: DataFrame, b_id: str, pairs_of, aggs: list[Column]) -> DataFra
     """
     bn = _norm_rect(b, "b", b_id)
     distinct_b = bn.dropDuplicates(_B_KEY)
-    key = _row_key(distinct_b)
+    key = _row_key(bn)
     pairs = pairs_of(distinct_b)
     extra = [c for c in pairs.columns if c not in _B_KEY]
     tagged = pairs.select(*key, *extra, F.lit(0).alias("_w")).unionByName(

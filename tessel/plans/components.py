@@ -69,7 +69,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, n_nodes: int | None
             und.join(bc(labels.selectExpr("id AS src", "label AS ls")), "src")
             .join(bc(labels.selectExpr("id AS dst", "label AS ld")), "dst")
             .filter("ls <> ld")
-            .limit(1)
             .count()
         )
         log.debug("components round %d: unconverged=%d", rnd, split)

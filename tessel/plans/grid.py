@@ -29,8 +29,9 @@ Skew
     side's rows get a deterministic salt ``pmod(xxhash64(row), n)`` and the other
     side's rows of the cell are copied to all ``n`` salts (both sides may be
     split at once).  Hot cells are found from a bounded sample of the cell rows;
-    their number is at most ``rows / hot_rows``, and they are broadcast only
-    when that count is below ``MAX_BROADCAST_HOT``, otherwise joined by shuffle.
+    they can only be cells of sampled rows, so their number is bounded by the
+    sample size; they are broadcast only when at most ``MAX_BROADCAST_HOT``,
+    otherwise joined by shuffle.
 
 Jobs run by :func:`grid_join` before the lazy result: one aggregate for the
 levels and floor (two rows to the driver) and one for hot cells.
@@ -46,7 +47,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessel.plans.partitioning import spread
-from tessel.session import ensure_checkpoint_dir
 
 # Fixed values of the plan (not tuning knobs of the data):
 TOP = 4096  # level of the single catch-all cell for boxes with infinite corners
@@ -265,16 +265,14 @@ def _hot_cells(a_cells: DataFrame, b_cells: DataFrame, frac: float, hot_rows: in
             f"CAST(greatest(1, ceil(eb / {hot_rows}), CASE WHEN ea < eb THEN ceil(ea * eb / {hot_work}) END) AS BIGINT) AS sb",
         )
     )
-    # Small sets of hot cells are broadcast (size checked here); larger ones are
-    # materialised in the checkpoint directory and joined by shuffle.
-    few = hot.limit(MAX_BROADCAST_HOT + 1).collect()
-    if not few:
+    # Hot cells are cells of sampled rows, so there are at most as many as the
+    # sample has cell rows: the collect is bounded by the sample size, not the data.
+    rows = hot.collect()
+    if not rows:
         return None
-    if len(few) <= MAX_BROADCAST_HOT:
-        small = a_cells.sparkSession.createDataFrame(few, schema=hot.schema)
-        return F.broadcast(small)
-    ensure_checkpoint_dir(a_cells.sparkSession)
-    return hot.checkpoint(eager=True)
+    table = a_cells.sparkSession.createDataFrame(rows, schema=hot.schema)
+    # broadcast only a checked-small table; a larger one is shuffle-joined
+    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_HOT else table
 
 
 def _salt(df: DataFrame, hot: DataFrame, p: str, mine: str, theirs: str, hash_cols) -> DataFrame:

@@ -12,8 +12,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Columns the fixtures read, with their Parquet types: an explicit schema skips
+# schema inference (one job per read) and prunes the scan to these columns.
+_SCHEMAS = {
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE",
+    "part": "p_partkey BIGINT, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT, s_acctbal DOUBLE",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _d(c) -> Column:
