@@ -150,3 +150,23 @@ def test_grid_join_plan_is_equi_join(spark):
     rects = rects_df(spark, [(i, i, i + 2, i + 2) for i in range(20)])
     plan = ops.spatial_join_pairs(pts, rects)._jdf.queryExecution().executedPlan().toString()
     assert ("SortMergeJoin" in plan or "BroadcastHashJoin" in plan) and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_multilevel_extents_vs_brute_force(spark):
+    # extents from 1e-6 to 1e6 and negative coordinates: many grid levels at once
+    rng = random.Random(17)
+
+    def box(scale):
+        x, y = rng.uniform(-1e3, 1e3), rng.uniform(-1e3, 1e3)
+        w, h = rng.random() * scale, rng.random() * scale
+        return (x, y, x + w, y + h)
+
+    scales = [0.0, 1e-6, 1e-3, 1.0, 30.0, 1e3, 1e6]
+    a_r = [box(rng.choice(scales)) for _ in range(250)]
+    b_r = [box(rng.choice(scales)) for _ in range(150)]
+    a_r += b_r[:20]  # exact duplicates across sides
+    a, b = rects_df(spark, a_r), rects_df(spark, b_r)
+    assert _pairs(ops.spatial_join_pairs(a, b, "intersects")) == _brute_rects(a_r, b_r, "intersects")
+    assert _pairs(ops.spatial_join_pairs(b, a, "intersects")) == _brute_rects(b_r, a_r, "intersects")
+    pts = [(r[0], r[1]) for r in a_r] + [(rng.uniform(-1e3, 1e3), rng.uniform(-1e3, 1e3)) for _ in range(200)]
+    assert _pairs(ops.spatial_join_pairs(points_df(spark, pts), b)) == _brute_points(pts, b_r)
