@@ -25,16 +25,20 @@ Matching
     implies closed intersection, so nothing is lost.
 
 Skew
-    A cell that holds more than ``hot_rows`` rows of one side is split: that
-    side's rows get a deterministic salt ``pmod(xxhash64(row), n)`` and the other
-    side's rows of the cell are copied to all ``n`` salts (both sides may be
-    split at once).  Hot cells are found from a bounded sample of the cell rows;
+    A cell is hot when one side has more than ``hot_rows`` rows in it or it
+    holds more than ``hot_work`` candidate pairs.  The larger side's rows of a
+    hot cell get a deterministic salt ``pmod(xxhash64(row), n)`` and the other
+    side's rows of that cell are copied to all ``n`` salts (both sides are
+    split when both are large), so each task gets a bounded share.  Hot cells
+    are estimated from a seeded sample of about ``HOT_SAMPLE_ROWS`` input rows;
     they can only be cells of sampled rows, so their number is bounded by the
-    sample size; they are broadcast only when at most ``MAX_BROADCAST_HOT``,
-    otherwise joined by shuffle.
+    sample size.  They are broadcast only when at most ``MAX_BROADCAST_HOT``,
+    otherwise shuffle-joined.  The pass is skipped when the input sizes alone
+    prove that no cell can be hot.
 
 Jobs run by :func:`grid_join` before the lazy result: one aggregate for the
-levels and floor (two rows to the driver) and one for hot cells.
+level plan (a few dozen rows to the driver) and, unless skipped, one sampled
+aggregate for hot cells.  Both read only the coordinate columns.
 """
 
 from __future__ import annotations
