@@ -26,6 +26,9 @@ them; use the pairs form when one rectangle may match a large share of A.
 from __future__ import annotations
 
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -145,8 +148,12 @@ def _per_b_row(b: DataFrame, b_id: str, pairs_of, aggs: list[Column]) -> DataFra
     """
     bn = _norm_rect(b, "b", b_id)
     distinct_b = bn.dropDuplicates(_B_KEY)
-    key = _row_key(bn)
-    pairs = pairs_of(distinct_b)
+    # the row-key check (over B) is independent of the join's planning jobs:
+    # submit it from a second thread so Spark runs both at once
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        pending = pool.submit(inheritable_thread_target(_row_key), bn)
+        pairs = pairs_of(distinct_b)
+        key = pending.result()
     extra = [c for c in pairs.columns if c not in _B_KEY]
     tagged = pairs.select(*key, *extra, F.lit(0).alias("_w")).unionByName(
         bn.select(*key, *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in extra], F.lit(1).alias("_w"))
