@@ -151,7 +151,7 @@ def _per_b_row(b: DataFrame, b_id: str, pairs_of, aggs: list[Column]) -> DataFra
     # the row-key check (over B) is independent of the join's planning jobs:
     # submit it from a second thread so Spark runs both at once
     with ThreadPoolExecutor(max_workers=1) as pool:
-        pending = pool.submit(inheritable_thread_target(_row_key), bn)
+        pending = pool.submit(inheritable_thread_target(bn.sparkSession)(_row_key), bn)
         pairs = pairs_of(distinct_b)
         key = pending.result()
     extra = [c for c in pairs.columns if c not in _B_KEY]
