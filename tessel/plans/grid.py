@@ -94,8 +94,11 @@ def sql_cell(v: str, level: str) -> str:
     Division by a power of two is exact, floor and clamp are monotone, so a
     point inside [lo, hi] always maps inside [cell(lo), cell(hi)].
     """
+    # coalesce only marks the (never null) result non-nullable, so the optimizer
+    # does not add and evaluate an extra IS NOT NULL filter per join key
     return (
-        f"floor(least(greatest(({v}) / power(2.0D, CAST({level} AS DOUBLE)), {-CLAMP!r}D), {CLAMP!r}D))"
+        f"coalesce(floor(least(greatest(({v}) / power(2.0D, CAST({level} AS DOUBLE)), "
+        f"{-CLAMP!r}D), {CLAMP!r}D)), 0L)"
     )
 
 
@@ -341,8 +344,12 @@ def grid_join(
         b_cells = _salt(b_cells, hot, "_b", "sb", "sa", b_cols)
         keys = keys + ["s_sa", "s_sb"]
 
-    a_cells = spread(a_cells, *[f"_a{k}" for k in keys])
-    b_cells = spread(b_cells, *[f"_b{k}" for k in keys])
+    # only the larger side is the probe side of a broadcast join; when both are
+    # large the sort-merge join partitions them on the key itself
+    if plan.n_a >= plan.n_b:
+        a_cells = spread(a_cells, *[f"_a{k}" for k in keys])
+    else:
+        b_cells = spread(b_cells, *[f"_b{k}" for k in keys])
     cond = " AND ".join(f"_a{k} = _b{k}" for k in keys)
     once = "_alvl = greatest(_aown, _bown)"
     if not a_point:
