@@ -210,6 +210,17 @@ def plan_grid(a: DataFrame, a_box, b: DataFrame, b_box, shift: int = 0) -> GridP
     )
 
 
+def plan_points_against(b: DataFrame, b_box) -> GridPlan:
+    """Plan for joining points (any number, e.g. a stream) against the boxes ``b`` only.
+
+    Points have zero extent, so they sit at the floor level; a point with an
+    infinite coordinate can only lie in a box with an infinite corner, which is
+    on ``TOP`` itself.  Hence the plan needs only one aggregate over ``b``.
+    """
+    p = plan_grid(b, b_box, b, b_box, shift=1)
+    return GridPlan(floor=p.floor, a_levels=(p.floor,), b_levels=p.b_levels, n_a=0, n_b=p.n_b, shift=1)
+
+
 def emit_cells(df: DataFrame, box, plan: GridPlan, other_levels, p: str) -> DataFrame:
     """Copy every row into the cells it covers at its own level and the other side's higher levels.
 
@@ -304,6 +315,7 @@ def grid_join(
     *,
     hot_rows: int = DEFAULT_HOT_ROWS,
     hot_work: int = DEFAULT_HOT_WORK,
+    plan: GridPlan | None = None,
 ) -> DataFrame:
     """All (a row, b row) pairs whose boxes overlap and ``predicate`` holds.
 
@@ -317,7 +329,9 @@ def grid_join(
     a = a.filter(sql_not_nan(*set(a_box)))
     b = b.filter(sql_not_nan(*set(b_box)))
     a_point = a_box[0] == a_box[2] and a_box[1] == a_box[3]
-    plan = plan_grid(a, a_box, b, b_box, shift=1 if a_point else 0)
+    streaming = a.isStreaming or b.isStreaming
+    if plan is None:
+        plan = plan_grid(a, a_box, b, b_box, shift=1 if a_point else 0)
     if not plan.a_levels or not plan.b_levels:  # one side has no usable rows
         schema = T.StructType([a.schema[c] for c in a_cols] + [b.schema[c] for c in b_cols])
         return a.sparkSession.createDataFrame([], schema)
@@ -328,7 +342,8 @@ def grid_join(
     keys = ["lvl", "cx", "cy"]
     hot = None
     # skip the pass when no cell can be hot: every cell is within both limits
-    if plan.n_a > hot_rows or plan.n_b > hot_rows or plan.n_a * plan.n_b > hot_work:
+    # (a stream cannot be sampled ahead of time: its micro-batches are joined as they come)
+    if not streaming and (plan.n_a > hot_rows or plan.n_b > hot_rows or plan.n_a * plan.n_b > hot_work):
         frac = min(1.0, HOT_SAMPLE_ROWS / max(1, plan.n_a + plan.n_b))
         a_s = a if frac >= 1.0 else a.sample(fraction=frac, seed=7)
         b_s = b if frac >= 1.0 else b.sample(fraction=frac, seed=11)
@@ -346,7 +361,9 @@ def grid_join(
 
     # only the larger side is the probe side of a broadcast join; when both are
     # large the sort-merge join partitions them on the key itself
-    if plan.n_a >= plan.n_b:
+    if streaming:
+        pass
+    elif plan.n_a >= plan.n_b:
         a_cells = spread(a_cells, *[f"_a{k}" for k in keys])
     else:
         b_cells = spread(b_cells, *[f"_b{k}" for k in keys])
