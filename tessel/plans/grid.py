@@ -30,7 +30,7 @@ Skew
     hot cell get a deterministic salt ``pmod(xxhash64(row), n)`` and the other
     side's rows of that cell are copied to all ``n`` salts (both sides are
     split when both are large), so each task gets a bounded share.  Hot cells
-    are estimated from a seeded sample of about ``HOT_SAMPLE_ROWS`` input rows;
+    are estimated from seeded samples of about ``HOT_SAMPLE_ROWS`` rows per side;
     they can only be cells of sampled rows, so their number is bounded by the
     sample size.  They are broadcast only when at most ``MAX_BROADCAST_HOT``,
     otherwise shuffle-joined.  The pass is skipped when the input sizes alone
@@ -58,7 +58,7 @@ CLAMP = float(2**50)  # cell indexes are clamped to +/- this (keeps floor() in B
 MIN_LEVEL = -1074  # smallest power of two a double can hold
 MAX_LEVEL = 1023  # largest
 MAX_BROADCAST_HOT = 20_000  # hot-cell rows that may be broadcast
-HOT_SAMPLE_ROWS = 200_000  # input rows sampled for hot-cell detection
+HOT_SAMPLE_ROWS = 200_000  # input rows sampled per side for hot-cell detection
 DEFAULT_HOT_ROWS = 1_000_000  # rows of one side in one cell before it is split
 DEFAULT_HOT_WORK = 200_000_000  # candidate pairs in one cell before it is split
 _ZERO_EXTENT = -100_000  # exponent recorded for boxes of zero extent
@@ -255,25 +255,25 @@ def emit_cells(df: DataFrame, box, plan: GridPlan, other_levels, p: str) -> Data
     )
 
 
-def _hot_cells(a_cells: DataFrame, b_cells: DataFrame, frac: float, hot_rows: int, hot_work: int):
+def _hot_cells(a_cells: DataFrame, b_cells: DataFrame, f_a: float, f_b: float, hot_rows: int, hot_work: int):
     """Cells too big for one task, with salt counts per side.
 
-    ``a_cells``/``b_cells`` are cell rows of a ``frac`` sample of the inputs
-    (sampled before emission, so this pass shuffles a bounded amount whatever
-    the input size); counts are scaled back by ``1/frac``.  A cell is hot when
+    ``a_cells``/``b_cells`` are cell rows of samples of the inputs taken at
+    fractions ``f_a``/``f_b`` (before emission, so this pass shuffles a bounded
+    amount whatever the input size); each sampled row counts ``1/f``.  A cell is hot when
     one side has more than ``hot_rows`` rows or it holds more than ``hot_work``
     candidate pairs.  The larger side is split so each task gets about
     ``hot_work`` pairs; a side above ``hot_rows`` is split regardless, so both
     sides are split when both are large.  Returns ``(lvl, cx, cy, sa, sb)`` or
     None when no cell is hot.
     """
-    tagged = a_cells.selectExpr("_alvl AS lvl", "_acx AS cx", "_acy AS cy", "1 AS na", "0 AS nb").unionByName(
-        b_cells.selectExpr("_blvl AS lvl", "_bcx AS cx", "_bcy AS cy", "0 AS na", "1 AS nb")
-    )
-    f = repr(float(frac))
+    wa, wb = repr(1.0 / f_a), repr(1.0 / f_b)
+    tagged = a_cells.selectExpr(
+        "_alvl AS lvl", "_acx AS cx", "_acy AS cy", f"{wa}D AS na", "0.0D AS nb"
+    ).unionByName(b_cells.selectExpr("_blvl AS lvl", "_bcx AS cx", "_bcy AS cy", "0.0D AS na", f"{wb}D AS nb"))
     hot = (
         tagged.groupBy("lvl", "cx", "cy")
-        .agg(F.expr(f"sum(na) / {f}D").alias("ea"), F.expr(f"sum(nb) / {f}D").alias("eb"))
+        .agg(F.sum("na").alias("ea"), F.sum("nb").alias("eb"))
         .filter(f"ea > {hot_rows} OR eb > {hot_rows} OR ea * eb > {hot_work}")
         .selectExpr(
             "lvl",
@@ -344,13 +344,16 @@ def grid_join(
     # skip the pass when no cell can be hot: every cell is within both limits
     # (a stream cannot be sampled ahead of time: its micro-batches are joined as they come)
     if not streaming and (plan.n_a > hot_rows or plan.n_b > hot_rows or plan.n_a * plan.n_b > hot_work):
-        frac = min(1.0, HOT_SAMPLE_ROWS / max(1, plan.n_a + plan.n_b))
-        a_s = a if frac >= 1.0 else a.sample(fraction=frac, seed=7)
-        b_s = b if frac >= 1.0 else b.sample(fraction=frac, seed=11)
+        # each side sampled to about HOT_SAMPLE_ROWS rows (a small side is counted exactly)
+        f_a = min(1.0, HOT_SAMPLE_ROWS / max(1, plan.n_a))
+        f_b = min(1.0, HOT_SAMPLE_ROWS / max(1, plan.n_b))
+        a_s = a if f_a >= 1.0 else a.sample(fraction=f_a, seed=7)
+        b_s = b if f_b >= 1.0 else b.sample(fraction=f_b, seed=11)
         hot = _hot_cells(
             emit_cells(a_s, a_box, plan, plan.b_levels, "_a"),
             emit_cells(b_s, b_box, plan, plan.a_levels, "_b"),
-            frac,
+            f_a,
+            f_b,
             hot_rows,
             hot_work,
         )

@@ -170,3 +170,18 @@ def test_multilevel_extents_vs_brute_force(spark):
     assert _pairs(ops.spatial_join_pairs(b, a, "intersects")) == _brute_rects(b_r, a_r, "intersects")
     pts = [(r[0], r[1]) for r in a_r] + [(rng.uniform(-1e3, 1e3), rng.uniform(-1e3, 1e3)) for _ in range(200)]
     assert _pairs(ops.spatial_join_pairs(points_df(spark, pts), b)) == _brute_points(pts, b_r)
+
+
+def test_sampled_hot_detection_keeps_every_pair(spark, monkeypatch):
+    import tessel.plans.grid as G
+    from tessel.functions.predicates import point_in_rect
+
+    monkeypatch.setattr(G, "HOT_SAMPLE_ROWS", 60)  # force sampling (fraction < 1) on small data
+    rng = random.Random(31)
+    pts = [(1 + rng.random(), 1 + rng.random()) for _ in range(900)] + [(rng.uniform(0, 40), rng.uniform(0, 40)) for _ in range(300)]
+    rects = _scene(rng, 120, 38, 4) + [(0, 0, 3, 3)] * 5
+    a = points_df(spark, pts).selectExpr("id AS aid", "x AS ax", "y AS ay")
+    b = rects_df(spark, rects).selectExpr("id AS bid", "x1 AS bx1", "y1 AS by1", "x2 AS bx2", "y2 AS by2")
+    got = grid_join(a, ("ax", "ay", "ax", "ay"), b, ("bx1", "by1", "bx2", "by2"),
+                    point_in_rect("ax", "ay", "bx1", "by1", "bx2", "by2"), hot_rows=40, hot_work=400)
+    assert _pairs(got.select("bid", "aid")) == _brute_points(pts, rects)
