@@ -320,7 +320,8 @@ def grid_join(
     """All (a row, b row) pairs whose boxes overlap and ``predicate`` holds.
 
     ``a`` and ``b`` must have disjoint column names; ``a_box``/``b_box`` name the
-    (x1, y1, x2, y2) columns of each side (a point passes (x, y, x, y)).  Rows
+    (x1, y1, x2, y2) columns of each side, normalised so that x1 <= x2 and
+    y1 <= y2 (a point passes (x, y, x, y)).  Rows
     with a NaN or null coordinate never match; infinite ones do.  The result
     keeps the columns of ``a`` and ``b`` only, one row per matching pair of
     input rows (duplicates on either side are kept).
