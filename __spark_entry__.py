@@ -124,6 +124,10 @@ def q_union_envelope(spark, d):
     return ops.rectangle_union(fixture(spark, d, "rect_supp_many"))
 
 
+def q_union_boundary_collinear(spark, d):
+    return ops.rectangle_union(fixture(spark, d, "rect_supp_one"), keep_collinear=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "points_on_border": q_points_on_border,
@@ -146,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "farthest_pair_emb": q_farthest_pair_emb,
     "union_boundary": q_union_boundary,
     "union_envelope": q_union_envelope,
+    "union_boundary_collinear": q_union_boundary_collinear,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -204,7 +209,7 @@ def _hull_sql(fx: str) -> str:
     )
 
 
-def _union_sql(fx: str) -> str:
+def _union_sql(fx: str, collinear: bool = False) -> str:
     """Union oracle: parts by recursive reachability over the rectangles, vertices from a
     compressed coordinate grid whose cells are covered or not."""
     ov_x, ov_y = "least(a.x2, b.x2) - greatest(a.x1, b.x1)", "least(a.y2, b.y2) - greatest(a.y1, b.y1)"
@@ -229,8 +234,19 @@ def _union_sql(fx: str) -> str:
         "max(CASE WHEN c.i = xi.i AND c.j = yj.j - 1 THEN 1 ELSE 0 END) AS se "
         "FROM xi, yj, cov c WHERE c.i BETWEEN xi.i - 1 AND xi.i AND c.j BETWEEN yj.j - 1 AND yj.j "
         "GROUP BY xi.x, yj.y), "
-        "bnd AS (SELECT x, y FROM mk WHERE ne + nw + sw + se IN (1, 3) OR (ne + nw + sw + se = 2 AND ne = sw)), "
-        "env AS (SELECT DISTINCT x, y FROM (SELECT min(x1) AS lx, min(y1) AS ly, max(x2) AS hx, max(y2) AS hy "
+        + (
+            # nodes on straight edges too, but only at side corners and side crossings
+            "cand AS (SELECT x1 AS x, y1 AS y FROM rr UNION SELECT x1, y2 FROM rr UNION SELECT x2, y1 FROM rr "
+            "UNION SELECT x2, y2 FROM rr UNION SELECT v.vx, h.hy FROM "
+            "(SELECT x1 AS vx, y1, y2 FROM rr UNION ALL SELECT x2, y1, y2 FROM rr) v JOIN "
+            "(SELECT y1 AS hy, x1, x2 FROM rr UNION ALL SELECT y2, x1, x2 FROM rr) h "
+            "ON h.x1 <= v.vx AND v.vx <= h.x2 AND v.y1 <= h.hy AND h.hy <= v.y2), "
+            "bnd AS (SELECT mk.x, mk.y FROM mk JOIN cand ON mk.x = cand.x AND mk.y = cand.y "
+            "WHERE ne + nw + sw + se BETWEEN 1 AND 3), "
+            if collinear
+            else "bnd AS (SELECT x, y FROM mk WHERE ne + nw + sw + se IN (1, 3) OR (ne + nw + sw + se = 2 AND ne = sw)), "
+        )
+        + "env AS (SELECT DISTINCT x, y FROM (SELECT min(x1) AS lx, min(y1) AS ly, max(x2) AS hx, max(y2) AS hy "
         "FROM rr) b, LATERAL (VALUES (lx, ly), (lx, hy), (hx, ly), (hx, hy)) AS t(x, y) WHERE lx IS NOT NULL) "
         "SELECT x, y FROM bnd WHERE (SELECT c FROM parts) = 1 "
         "UNION ALL SELECT x, y FROM env WHERE (SELECT c FROM parts) > 1"
@@ -272,6 +288,7 @@ ORACLE: dict[str, str] = {
     "farthest_pair_emb": _pair_sql("pts_emb", desc=True),
     "union_boundary": _union_sql("rect_supp_one"),
     "union_envelope": _union_sql("rect_supp_many"),
+    "union_boundary_collinear": _union_sql("rect_supp_one", collinear=True),
     "distinct_points": _with("pts_cust") + "SELECT DISTINCT x, y FROM pts_cust WHERE NOT isnan(x) AND NOT isnan(y)",
     "envelope": _with("rect_supp_many")
     + "SELECT DISTINCT x, y FROM (SELECT min(least(x1, x2)) AS lx, min(least(y1, y2)) AS ly, "
