@@ -47,12 +47,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame, n_nodes: int | None
     labels = nodes.selectExpr("id", "id AS label")
     for rnd in range(MAX_ROUNDS):
         # smallest label among each node's neighbours
-        nb = (
-            und.join(bc(labels.withColumnRenamed("id", "src")), "src")
-            .groupBy("dst")
-            .agg(F.min("label").alias("nl"))
-            .withColumnRenamed("dst", "id")
+        # round 0: every label is its own id, so no join with the label table is needed
+        with_labels = und.withColumnRenamed("src", "label") if rnd == 0 else und.join(
+            bc(labels.withColumnRenamed("id", "src")), "src"
         )
+        nb = with_labels.groupBy("dst").agg(F.min("label").alias("nl")).withColumnRenamed("dst", "id")
         step = labels.join(bc(nb), "id", "left").selectExpr("id", "least(label, coalesce(nl, label)) AS label")
         # pointer jumping: take the label of the label
         jumped = step
