@@ -8,6 +8,7 @@ independently of the Spark plan (nested-loop joins, all-pairs scans).
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -297,6 +298,24 @@ ORACLE: dict[str, str] = {
 }
 
 
+def _add_training_data_queries() -> None:
+    """Add the queries of the ``llm`` subpackage and the pipeline where they are installed."""
+    if importlib.util.find_spec("tessel.llm") is not None:
+        from tessel.llm import queries as llm
+
+        QUERIES.update(llm.QUERIES)
+        ORACLE.update(llm.ORACLE)
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+
+            QUERIES["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+_add_training_data_queries()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: range query over the embedding points at sf0.001."""
     return q_range_query(spark, SMOKE_DIR)

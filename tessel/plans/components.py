@@ -1,14 +1,17 @@
-"""Connected components of an edge list by min-label propagation with pointer jumping.
+"""Connected components of an edge list by minimum hooking and contraction.
 
-Each round is three DataFrame joins and an aggregate; labels only decrease and
-always name a node of the same component, and the fixpoint (no label changes)
-gives every node the smallest id of its component.  Pointer jumping (a node
-adopts its label's label) makes long chains collapse in a logarithmic number
-of rounds instead of one hop per round.  The label table is checkpointed to
-the cluster's checkpoint directory every round, so lineage stays one round
-long and a lost executor recomputes at most one round.  Aggregates are min()
-only, so a node with a third of all edges costs partial rows per task, never a
-whole neighbour list in one task.
+Every round hooks each vertex to the smallest vertex among itself and its
+neighbours, flattens the resulting trees by pointer jumping, and contracts the
+edges to the roots.  A vertex that no round merges is a local minimum whose
+neighbours hooked to something smaller, so it hooks in the round after: at least
+half of the vertices that still have edges vanish every two rounds, whatever the
+order of ids, and jumping doubles its reach every step.  Both loops therefore end
+after a logarithmic number of steps and neither has a cap.
+
+All steps are aggregates with map-side combining (``min`` only) and equi-joins, so
+a vertex with a third of all edges costs partial rows, never one neighbour list.
+Each round's tables are written to the shared checkpoint folder and deleted when
+the next round has replaced them: a lost executor recomputes one step.
 """
 
 from __future__ import annotations
@@ -18,59 +21,65 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessel.session import ensure_checkpoint_dir
+from tessel.session import discard, materialize
 
-MAX_ROUNDS = 200
-BROADCAST_NODES = 2_000_000  # node tables up to this many rows (~32 MB) are broadcast
-JUMPS = 1  # pointer-jumping steps per round (2 measured slower: more joins per round)
 log = logging.getLogger(__name__)
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, n_nodes: int | None = None) -> DataFrame:
-    """``nodes(id)``, ``edges(src, dst)`` (either direction) -> ``(id, label)``.
+def _flatten(parents: DataFrame) -> tuple[DataFrame, str]:
+    """Pointer jumping over ``(id, label)`` until every label is a root."""
+    table, path = materialize(parents, "parents")
+    while True:
+        hop = table.selectExpr("id AS label", "label AS up")
+        step, new = materialize(
+            table.join(hop, "label").selectExpr("id", "up AS label", "up <> label AS moved"), "parents"
+        )
+        discard(parents.sparkSession, path)
+        table, path = step.select("id", "label"), new
+        if step.filter("moved").isEmpty():
+            return table, path
 
-    ``label`` is the smallest node id of the node's component.  ``nodes``
-    should be cheap to re-read (a checkpointed or stored table).  When
-    ``n_nodes`` is given and at most ``BROADCAST_NODES``, the per-node tables
-    (two longs a row) are broadcast into the joins; otherwise every join is a
-    shuffle join.
-    """
-    spark = nodes.sparkSession
-    ensure_checkpoint_dir(spark)
-    small = n_nodes is not None and n_nodes <= BROADCAST_NODES
 
-    def bc(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
+def edge_components(edges: DataFrame) -> DataFrame:
+    """``edges(src, dst)`` in either direction -> ``(id, label)`` for every id with an edge.
 
-    und = edges.selectExpr("src", "dst").unionByName(edges.selectExpr("dst AS src", "src AS dst"))
-    und = und.filter("src <> dst").dropDuplicates().checkpoint(eager=True)
-    labels = nodes.selectExpr("id", "id AS label")
-    for rnd in range(MAX_ROUNDS):
-        # smallest label among each node's neighbours
-        # round 0: every label is its own id, so no join with the label table is needed
-        with_labels = und.withColumnRenamed("src", "label") if rnd == 0 else und.join(
-            bc(labels.withColumnRenamed("id", "src")), "src"
-        )
-        nb = with_labels.groupBy("dst").agg(F.min("label").alias("nl")).withColumnRenamed("dst", "id")
-        step = labels.join(bc(nb), "id", "left").selectExpr("id", "least(label, coalesce(nl, label)) AS label")
-        # pointer jumping: take the label of the label
-        jumped = step
-        for _ in range(JUMPS):
-            hop = jumped.selectExpr("id AS lid", "label AS ll")
-            jumped = jumped.join(bc(hop), F.expr("label = lid"), "left").selectExpr(
-                "id", "least(label, coalesce(ll, label)) AS label"
-            )
-        labels = jumped.checkpoint(eager=True)
-        # Converged when both ends of every edge carry the same label: labels are
-        # then constant on each component and, since a component's smallest id can
-        # only carry itself, equal to that smallest id.
-        split = (
-            und.join(bc(labels.selectExpr("id AS src", "label AS ls")), "src")
-            .join(bc(labels.selectExpr("id AS dst", "label AS ld")), "dst")
-            .filter("ls <> ld")
-            .count()
+    ``label`` is the smallest id of the component.  Null ends and loops are ignored.
+    """
+    spark = edges.sparkSession
+    links, path = materialize(
+        edges.filter("src <> dst").selectExpr("least(src, dst) AS src", "greatest(src, dst) AS dst").distinct(), "links"
+    )
+    total, total_path = None, None
+    while True:
+        both = links.unionByName(links.selectExpr("dst AS src", "src AS dst"))
+        parents = both.groupBy("src").agg(F.min("dst").alias("m")).selectExpr("src AS id", "least(src, m) AS label")
+        roots, roots_path = _flatten(parents)
+        old = [path, roots_path]
+        a = roots.selectExpr("id AS src", "label AS a")
+        b = roots.selectExpr("id AS dst", "label AS b")
+        contracted = (
+            links.join(a, "src")
+            .join(b, "dst")
+            .filter("a <> b")
+            .selectExpr("least(a, b) AS src", "greatest(a, b) AS dst")
+            .distinct()
         )
-        log.debug("components round %d: unconverged=%d", rnd, split)
-        if split == 0:
-            return labels
-    raise RuntimeError(f"connected components did not converge in {MAX_ROUNDS} rounds")
+        new_links, path = materialize(contracted, "links")
+        if total is None:
+            total, total_path = roots, old.pop()
+        else:
+            up = roots.selectExpr("id AS label", "label AS up")
+            joined = total.join(up, "label", "left").selectExpr("id", "coalesce(up, label) AS label")
+            old.append(total_path)
+            total, total_path = materialize(joined, "labels")
+        discard(spark, *old)
+        links = new_links
+        if links.isEmpty():
+            discard(spark, path)
+            return total
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``nodes(id)``, ``edges(src, dst)`` (either direction) -> ``(id, label)`` for every node."""
+    found = edge_components(edges)
+    return nodes.select("id").join(found, "id", "left").selectExpr("id", "coalesce(label, id) AS label")

@@ -9,8 +9,9 @@ mode do we fall back to a fresh folder under the system temp dir.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessel") -> SparkSession:
@@ -50,3 +51,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         )
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessel-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame, name: str = "table") -> tuple[DataFrame, str]:
+    """Write ``df`` once as Parquet into the shared folder and read it back: ``(table, path)``.
+
+    Cuts lineage like ``checkpoint()``, but runs the plan once with adaptive execution and
+    leaves a columnar table.  Pass the path to ``discard`` when nothing will read it again.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete intermediate tables that no later action reads."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
