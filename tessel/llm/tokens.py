@@ -12,17 +12,18 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessel.llm.words import worker_store
+from tessel.llm.words import chunks, text_buffer, words, worker_store
 from tessel.session import ensure_checkpoint_dir, materialize
 
-CACHED_WORDS = 600_000  # words remembered by one worker; the cache starts anew beyond that
+CACHED_WORDS = 2_000_000  # words remembered by one worker; it starts anew beyond that
+SLOTS = 1 << 22
 CACHED_BYTES = 48  # longer words are encoded each time
 TEXT_BYTES = 2 << 20  # text encoded at once
+TAILS = b".,;:!?"
 
 
 def default_tokenizer() -> str:
@@ -31,15 +32,79 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class WordTable:
+    """Known words of a worker: 64-bit word hash -> run of ids, in flat arrays with open addressing."""
+
+    def __init__(self, dtype):
+        self.keys = np.zeros(SLOTS, np.uint64)
+        self.entry = np.full(SLOTS, -1, np.int32)
+        self.ids = np.zeros(1 << 20, dtype)
+        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.entries, self.used = 0, 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash, -1 where unknown."""
+        out = np.full(len(h), -1, np.int32)
+        left = np.arange(len(h))
+        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        while len(left):
+            e = self.entry[slot]
+            hit = (e >= 0) & (self.keys[slot] == h[left])
+            out[left[hit]] = e[hit]
+            on = (e >= 0) & ~hit
+            left, slot = left[on], (slot[on] + 1) % SLOTS
+        return out
+
+    def add(self, runs: list[bytes], itemsize: int) -> np.ndarray:
+        """New entries for runs of ids -> their numbers."""
+        size = np.array([len(r) // itemsize for r in runs], np.int64)
+        flat = np.frombuffer(b"".join(runs), self.ids.dtype)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.entries + len(runs) > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        new = np.arange(self.entries, self.entries + len(runs))
+        self.size[new] = size
+        self.begin[new] = self.used + np.cumsum(size) - size
+        self.used += len(flat)
+        self.entries += len(runs)
+        return new
+
+    def put(self, h: np.ndarray, entry: np.ndarray) -> None:
+        """Store distinct, so far unknown hashes."""
+        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        while len(h):
+            free = np.flatnonzero(self.entry[slot] < 0)
+            at, who = np.unique(slot[free], return_index=True)  # one claim for each free slot
+            won = free[who]
+            self.entry[at], self.keys[at] = entry[won], h[won]
+            lost = np.ones(len(h), bool)
+            lost[won] = False
+            h, entry, slot = h[lost], entry[lost], slot[lost]
+            slot = np.where(self.entry[slot] < 0, slot, (slot + 1) % SLOTS)
+
+
 class WordEncoder:
-    """Texts (UTF-8 bytes) -> ids as little-endian bytes of ``dtype``."""
+    """Batches of texts -> ids, through a table of known words."""
 
     def __init__(self, path: str, by_words: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.by_words, self.cache = by_words, {}
+        self.by_words = by_words
+        probe = ["Ab Cd", "ab cd"]
+        self.lower = len(set(self._encode(probe))) == 1
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table = WordTable(self.dtype)
+        tails = [b""] + [TAILS[i : i + 1] for i in range(len(TAILS))]
+        found = self.table.add(self._encode([t.decode() for t in tails]), self.dtype.itemsize)
+        self.tail = np.full(256, found[0])  # entry of the piece after a word, the empty one for a gap
+        self.tail[list(TAILS)] = found[1:]
 
     @classmethod
     def of_worker(cls, path: str, by_words: bool = True) -> WordEncoder:
@@ -57,36 +122,71 @@ class WordEncoder:
             out.extend(np.array(x.ids, self.dtype).tobytes() for x in found)
         return out
 
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        if not self.by_words:
-            return self._encode([t.decode() for t in texts])
-        parts = [t.split() for t in texts]  # at 0x20 and 0x09-0x0D
-        cache = self.cache
-        new = list(set().union(*parts).difference(cache))
-        if len(cache) + len(new) > CACHED_WORDS:
-            cache.clear()
-            new = list(set().union(*parts))
-        cache.update(zip(new, self._encode([w.decode() for w in new])))
-        out = [b"".join(map(cache.__getitem__, p)) for p in parts]
-        for w in new:
-            if len(w) > CACHED_BYTES:
-                del cache[w]
+    def _encode_words(self, strings: list[str]) -> list[bytes]:
+        """Words of letters go many in one string, cut again at the pre-tokenizer's pieces."""
+        out: list[bytes] = [b""] * len(strings)
+        plain = [i for i, w in enumerate(strings) if w.isalpha()]
+        other = [i for i, w in enumerate(strings) if not w.isalpha()]
+        for at in range(0, len(plain), 1000):
+            some = plain[at : at + 1000]
+            found = self.tokenizer.encode(" ".join([strings[i] for i in some]), add_special_tokens=False)
+            begin = np.flatnonzero(np.diff(np.array(found.word_ids, np.int64), prepend=-1))
+            if len(begin) != len(some):  # a word was more than one piece, or none
+                other.extend(some)
+                continue
+            raw, size = np.array(found.ids, self.dtype).tobytes(), self.dtype.itemsize
+            cuts = [*(begin * size).tolist(), len(raw)]
+            for i, a, b in zip(some, cuts, cuts[1:]):
+                out[i] = raw[a:b]
+        for i, run in zip(other, self._encode([strings[i] for i in other])):
+            out[i] = run
         return out
 
-
-def encoded(batches, path: str, by_words: bool = True):
-    """``(doc_id arrow array, list of ids as bytes, dtype)`` for runs of rows of bounded text."""
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text buffer and offsets -> ``(ids, first)``: text ``i`` has ``ids[first[i]:first[i + 1]]``."""
+        raw = data.tobytes()
+        if not self.by_words:
+            runs = self._encode([raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:])])
+            ids = np.frombuffer(b"".join(runs), self.dtype)
+            return ids, np.cumsum([0] + [len(r) // self.dtype.itemsize for r in runs])
+        if self.table.entries > CACHED_WORDS:
+            self._forget()
+        # A-Z counts as lower case for a lower-casing tokenizer, but not in names of added tokens
+        lower = self.lower and b"<|" not in raw
+        raw = raw.lower() if lower else raw
+        h, start, end, first = words(data, offsets, lower=lower, trim=TAILS)
+        known = self.table.find(h)
+        missing = np.flatnonzero(known < 0)
+        if len(missing):
+            distinct, at, back = np.unique(h[missing], return_index=True, return_inverse=True)
+            spans = zip(start[missing[at]].tolist(), end[missing[at]].tolist())
+            runs = self._encode_words([raw[a:b].decode() for a, b in spans])
+            entry = self.table.add(runs, self.dtype.itemsize)
+            known[missing] = entry[back]
+            short = (end - start)[missing[at]] <= CACHED_BYTES
+            self.table.put(distinct[short], entry[short].astype(np.int32))
+        after = self.tail[data[np.minimum(end, len(data) - 1)]]
+        at_edge = np.zeros(len(data) + 1, bool)
+        at_edge[offsets] = True
+        after[at_edge[end]] = self.tail[32]  # a word at the end of its text has nothing after it
+        entries = np.stack([known.astype(np.int64), after], axis=1).ravel()
+        size = self.table.size[entries]
+        total = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=total[1:])
+        ids = self.table.ids[np.repeat(self.table.begin[entries] - total[:-1], size) + np.arange(total[-1])]
+        return ids, total[2 * first]
+
+
+def encoded(batches, path: str, by_words: bool = True, end_id: int | None = None):
+    """``(doc_id arrow array, ids, first, dtype)`` for runs of rows of bounded text."""
     encoder = WordEncoder.of_worker(path, by_words)
     for batch in batches:
-        texts = pc.fill_null(batch.column("text"), "")
-        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
-        at = 0
-        while at < batch.num_rows:
-            done = sizes[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(sizes, done + TEXT_BYTES, side="right")))
-            some = texts.slice(at, to - at).cast(pa.large_binary()).to_pylist()
-            yield batch.column("doc_id").slice(at, to - at), encoder(some), encoder.dtype
-            at = to
+        for part in chunks(batch, limit=TEXT_BYTES):
+            ids, first = encoder(*text_buffer(part.column("text")))
+            if end_id is not None:
+                ids = np.insert(ids, first[1:], end_id)
+                first = first + np.arange(len(first))
+            yield part.column("doc_id"), ids, first, encoder.dtype
 
 
 # ------------------------------------------------------------------ sequence files
@@ -126,15 +226,16 @@ class SequenceWriter:
         self.writer = pa.ipc.new_file(sink, self.schema)
         self.parts, self.waiting, self.written, self.ends = [], 0, 0, []
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
+    def add(self, doc_ids: list, ids: np.ndarray, first: np.ndarray) -> None:
+        """Documents ``ids[first[i]:first[i + 1]]``, none of them empty."""
+        self.ends.extend(zip(doc_ids, (first[1:] + (self.written + self.waiting)).tolist()))
         self.parts.append(ids)
-        self.waiting += len(ids) // self.dtype.itemsize
-        self.ends.append((doc_id, self.written + self.waiting))
+        self.waiting += len(ids)
         if self.waiting >= self.length * self.rows:
             self._flush(self.waiting // self.length)
 
-    def _flush(self, n: int, pad: bool = False) -> None:
-        flat = np.frombuffer(b"".join(self.parts), self.dtype)
+    def _flush(self, n: int) -> None:
+        flat = np.concatenate(self.parts) if self.parts else np.zeros(0, self.dtype)
         size = n * self.length
         taken = min(size, len(flat))
         ids = np.zeros(size, self.dtype)
@@ -161,7 +262,7 @@ class SequenceWriter:
         )
         for i in range(0, n, step):
             self.writer.write_batch(table.slice(i, step))
-        self.parts, self.waiting = [flat[taken:].tobytes()], len(flat) - taken
+        self.parts, self.waiting = [flat[taken:].copy()], len(flat) - taken
         self.written += taken
         self.ends = self.ends[here:]
 
@@ -219,13 +320,12 @@ def write_sequences(
         files.create_dir(root, recursive=True)
         name = f"part-{part:06d}-{uuid.uuid4().hex}.arrow"
         writer, n_docs = None, 0
-        for ids_of, found, dtype in encoded(batches, path, by_words):
+        for ids_of, ids, first, dtype in encoded(batches, path, by_words, end_id):
             if writer is None:
                 sink = files.open_output_stream(f"{root}/{name}")
-                writer, end = SequenceWriter(sink, length, dtype, batch), np.array([end_id], dtype).tobytes()
-            for doc_id, ids in zip(ids_of.to_pylist(), found):
-                writer.add(doc_id, ids + end)
-            n_docs += len(found)
+                writer = SequenceWriter(sink, length, dtype, batch)
+            writer.add(ids_of.to_pylist(), ids, first)
+            n_docs += len(ids_of)
         if writer is not None:
             tokens = writer.close()
             sink.close()

@@ -103,12 +103,14 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray | None = None, prefix: int = 0):
+def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray | None = None, prefix: int = 0,
+          lower: bool = True, trim: bytes = b""):
     """Words of a batch of texts, A-Z lower-cased.
 
     Returns ``(hash uint64, start, end, first)``: ``start``/``end`` are byte positions in
     ``data`` and words ``first[i]:first[i + 1]`` belong to text ``i``.  With ``prefix``, the
-    hashes are of each word's first ``prefix`` bytes.
+    hashes are of each word's first ``prefix`` bytes.  With ``trim``, one byte of ``trim`` after an
+    ASCII letter is cut off the end of a word (``data[end]`` is then that byte, not a gap).
     """
     separators = space_table() if separators is None else separators
     n = len(data)
@@ -126,13 +128,19 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray | None =
     finishes[:-1] &= gap[1:] | edge[1:n]
     start, end = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
     first = np.searchsorted(start, offsets)
+    if trim:
+        tail = np.zeros(256, bool)
+        tail[list(trim)] = True
+        letter = np.zeros(256, bool)
+        letter[65:91] = letter[97:123] = True
+        end -= tail[data[end - 1]] & (end - start > 1) & letter[data[end - 2]]
     out = np.empty(len(start), np.uint64)
-    lower, i = lower_table(), 0
+    table, i = lower_table() if lower else np.arange(256, dtype=np.uint8), 0
     while i < len(start):
         base = start[i]
         j = max(int(np.searchsorted(end, base + HASH_BYTES, side="right")), i + 1)
         power, inverse = _powers(int(end[j - 1] - base))
-        terms = lower[data[base : end[j - 1]]].astype(np.uint64)
+        terms = table[data[base : end[j - 1]]].astype(np.uint64)
         terms += np.uint64(1)
         terms *= power[: len(terms)]
         total = np.zeros(len(terms) + 1, np.uint64)

@@ -1,13 +1,15 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tessel.llm import tokens as K
+from tessel.llm.words import text_buffer
 
-ODD = ["", "  ", "a", "<|endoftext|> x", "don't  I'LL\x1cgo\x85on now", "é ́x", "日本 語!!", " a\x0bb", "Ａ ﬁ"]
+ODD = ["", "  ", "a", "<|endoftext|> x", "don't  I'LL\x1cgo\x85on now", "é ́x", "日本 語!!", "end. End, 's. It's; x!! ?! a.b é. <|ENDOFTEXT|>.", "İ Ǆ ﬁ. " + "long" * 30 + ".", " a\x0bb", "Ａ ﬁ"]
 
 
 def whole(texts):
@@ -21,8 +23,9 @@ def whole(texts):
 @given(st.lists(st.text(max_size=30), max_size=4))
 def test_words_encode_like_whole_texts(texts):
     encoder = K.WordEncoder.of_worker(K.default_tokenizer())
-    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder([t.encode() for t in texts + ODD])]
-    assert got == whole(texts + ODD)
+    for _ in range(2):  # unknown words, then known ones
+        ids, first = encoder(*text_buffer(pa.array(texts + ODD)))
+        assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == whole(texts + ODD)
 
 
 def rows():
