@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import simhash, tokens, toxicity
+from tessel.llm import packing, simhash, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,12 +21,16 @@ def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, d, "documents"), _table(spark, d, "labels"))
 
 
+def op8_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed_documents(_table(spark, d, "documents"), tokens.default_tokenizer())
+
+
 def op10_sequence_files(spark: SparkSession, d: str) -> DataFrame:
     files, _ = tokens.write_sequences(_table(spark, d, "documents"), tokens.default_tokenizer(), end_id=1)
     return tokens.read_documents(spark, files)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash_components, op6_toxicity, op10_sequence_files)
+    f.__name__: f for f in (op2_simhash_components, op6_toxicity, op8_best_fit_packing, op10_sequence_files)
 }
 ORACLE: dict[str, str] = {}
