@@ -86,7 +86,7 @@ def fit_rows(feature, sentence, doc, label: np.ndarray) -> tuple[np.ndarray, flo
     bias = float(np.log(prior / (1 - prior)))
     if n == 0 or label.min() == label.max():
         return weights, min(bias, -3.0)
-    seen = np.unique(doc[sentence] * FEATURES + feature)
+    seen = np.unique(doc[sentence] * FEATURES + feature)  # each feature once a document
     df = np.bincount(seen % FEATURES, minlength=FEATURES)
     toxic_df = np.bincount((seen % FEATURES)[label[seen // FEATURES] > 0], minlength=FEATURES)
     used = np.flatnonzero(df >= MIN_DOCUMENTS)
@@ -125,6 +125,7 @@ def _featurize(batches):
             per_doc = np.searchsorted(doc, np.arange(part.num_rows + 1))
             yield pa.record_batch(
                 {
+                    "doc_id": part.column("doc_id"),
                     "toxic": part.column("toxic"),
                     "feature": pa.ListArray.from_arrays(pa.array(at[per_doc], pa.int32()), pa.array(feature, pa.int32())),
                     "size": pa.ListArray.from_arrays(pa.array(per_doc, pa.int32()), pa.array(np.diff(at), pa.int32())),
@@ -143,22 +144,42 @@ def fit(docs: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCUMENTS)
         .limit(fit_documents)
     )
     rows = (
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(sample), "doc_id")  # at most fit_documents ids
-        .select("text", "toxic")
-        .mapInArrow(_featurize, "toxic int, feature array<int>, size array<int>")
-        .toPandas()
+        .select("doc_id", "text", "toxic")
+        .mapInArrow(_featurize, "doc_id long, toxic int, feature array<int>, size array<int>")
     )
-    if not len(rows):
-        return np.zeros(FEATURES), -3.0
-    # the order rows arrive in depends on the partitioning: put sums in one order
-    rows["n"] = rows["feature"].map(len)
-    rows = rows.iloc[np.lexsort((rows["feature"].map(lambda x: int(np.sum(x, dtype=np.int64))), rows["n"], rows["toxic"]))]
-    feature = np.concatenate([np.asarray(x, np.int64) for x in rows["feature"]])
-    sizes = [np.asarray(x, np.int64) for x in rows["size"]]
-    doc = np.repeat(np.arange(len(rows)), [len(x) for x in sizes])
-    sentence = np.repeat(np.arange(len(doc)), np.concatenate(sizes) if sizes else [])
-    return fit_rows(feature, sentence, doc, rows["toxic"].to_numpy(float))
+
+    def learn(batches):
+        """The bounded sample in one task, in one order whatever the partitioning."""
+        feature, sizes, per_doc, label = [], [], [], []
+        for batch in batches:
+            feature.append(batch.column("feature").flatten().to_numpy())
+            sizes.append(batch.column("size").flatten().to_numpy())
+            per_doc.append(np.diff(batch.column("size").offsets.to_numpy()))
+            label.append(batch.column("toxic").to_numpy())
+        if not label:
+            return
+        sizes, per_doc = np.concatenate(sizes), np.concatenate(per_doc)
+        doc = np.repeat(np.arange(len(per_doc)), per_doc)
+        sentence = np.repeat(np.arange(len(sizes)), sizes)
+        weights, bias = fit_rows(np.concatenate(feature), sentence, doc, np.concatenate(label).astype(float))
+        used = np.flatnonzero(weights)
+        yield pa.record_batch(
+            {
+                "feature": pa.array(np.append(used, -1).astype(np.int32)),
+                "weight": pa.array(np.append(weights[used], bias)),
+            }
+        )
+
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id", F.size("feature"), "toxic")
+    weights, bias = np.zeros(FEATURES), -3.0
+    for r in ordered.mapInArrow(learn, "feature int, weight double").collect():  # at most FEATURES + 1 rows
+        if r["feature"] < 0:
+            bias = r["weight"]
+        else:
+            weights[r["feature"]] = r["weight"]
+    return weights, bias
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], spans: bool = True) -> DataFrame:
