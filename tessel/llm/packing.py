@@ -117,6 +117,8 @@ def _ranked(batches):
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (with ``doc_id, piece, start, length``) plus ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
+    # sorting by range reads its input twice: texts are encoded once, into small rows
+    pieces, _ = materialize(pieces, "pieces")
     names = pieces.columns
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col("length").desc(), "doc_id", "piece", "start"]
