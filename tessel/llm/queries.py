@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import packing, simhash, tokens, toxicity
+from tessel.llm import licenses, packing, simhash, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, d, "documents"), _table(spark, d, "labels"))
 
 
+def op7_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(_table(spark, d, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed_documents(_table(spark, d, "documents"), tokens.default_tokenizer())
 
@@ -31,6 +35,6 @@ def op10_sequence_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash_components, op6_toxicity, op8_best_fit_packing, op10_sequence_files)
+    f.__name__: f for f in (op2_simhash_components, op6_toxicity, op7_license_scan, op8_best_fit_packing, op10_sequence_files)
 }
 ORACLE: dict[str, str] = {}
