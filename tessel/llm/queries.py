@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import licenses, packing, simhash, tokens, toxicity
+from tessel.llm import chat, fingerprints, licenses, packing, simhash, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_simhash_components(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, d, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_document_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.compare(_table(spark, d, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, d, "documents"), _table(spark, d, "labels"))
 
@@ -29,12 +33,29 @@ def op8_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed_documents(_table(spark, d, "documents"), tokens.default_tokenizer())
 
 
+def op9_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    turns = _table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    fixed = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    path = chat.default_tokenizer()
+    return chat.read_back(chat.format_conversations(turns.unionByName(fixed), path), path)
+
+
 def op10_sequence_files(spark: SparkSession, d: str) -> DataFrame:
     files, _ = tokens.write_sequences(_table(spark, d, "documents"), tokens.default_tokenizer(), end_id=1)
     return tokens.read_documents(spark, files)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash_components, op6_toxicity, op7_license_scan, op8_best_fit_packing, op10_sequence_files)
+    f.__name__: f
+    for f in (
+        op2_simhash_components,
+        op3_document_fingerprints,
+        op6_toxicity,
+        op7_license_scan,
+        op8_best_fit_packing,
+        op9_chat_format,
+        op10_sequence_files,
+    )
 }
 ORACLE: dict[str, str] = {}

@@ -134,6 +134,12 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray | None =
         letter = np.zeros(256, bool)
         letter[65:91] = letter[97:123] = True
         end -= tail[data[end - 1]] & (end - start > 1) & letter[data[end - 2]]
+    to = np.minimum(end, start + prefix) if prefix else end
+    return mix(span_hashes(data, start, to, lower)), start, end, first
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Polynomial hash (mod 2**64) of the bytes of ascending spans that do not overlap."""
     out = np.empty(len(start), np.uint64)
     table, i = lower_table() if lower else np.arange(256, dtype=np.uint8), 0
     while i < len(start):
@@ -146,10 +152,9 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray | None =
         total = np.zeros(len(terms) + 1, np.uint64)
         np.cumsum(terms, out=total[1:])
         s, e = start[i:j] - base, end[i:j] - base
-        e = np.minimum(e, s + prefix) if prefix else e
         out[i:j] = (total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64)
         i = j
-    return mix(out), start, end, first
+    return out
 
 
 def shingles(h: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
