@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import chat, fingerprints, licenses, packing, simhash, tokens, toxicity
+from tessel.llm import chat, decontaminate, fingerprints, licenses, packing, ppm, simhash, tokens, toxicity
+from tessel.llm.words import crc_remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,14 @@ def op3_document_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return fingerprints.compare(_table(spark, d, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+def op5_ppm_score(spark: SparkSession, d: str) -> DataFrame:
+    return ppm.score(_table(spark, d, "documents"), train=crc_remainder("doc_id", 7) != 2)
+
+
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, d, "documents"), _table(spark, d, "labels"))
 
@@ -51,6 +60,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_simhash_components,
         op3_document_fingerprints,
+        op4_decontamination,
+        op5_ppm_score,
         op6_toxicity,
         op7_license_scan,
         op8_best_fit_packing,
