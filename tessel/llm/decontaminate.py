@@ -9,8 +9,8 @@ passage.  A passage is a query:
 
 * terms are taken by falling impact until those left cannot reach the threshold
   together; only the first ones' postings give candidates (the WAND pivot);
-* a candidate whose known part plus the block maxima of the other terms stays below
-  the threshold is dropped; the others are scored in full;
+* a candidate whose known part plus the other terms' maxima in the item's block stays
+  below the threshold is dropped; the others are scored in full;
 * every item at or over the threshold is kept, none is cut off at a top k, and is
   verified: at least ``OVERLAP`` of the five-word shingles of its question and of its
   answer (the last sentence; the last third of a one-sentence item) in the passage.
@@ -39,7 +39,9 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5  # of the item's score against itself
 OVERLAP = 0.8
 SHINGLE = 5
-BLOCK_ITEMS = 64
+BLOCK_ITEMS = 8  # items in a block, more where that would be over BLOCKS blocks
+BLOCKS = 64
+DENSE_ITEMS = 2048  # candidates of larger indexes are summed sparsely, with the same result
 INDEX_WORDS = 4_000_000  # item words in one broadcast index
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -94,9 +96,10 @@ class Index:
         self.code, self.item, self.impact = code, item, impact
         self.begin = np.searchsorted(term, np.arange(len(self.terms) + 1))
         self.top = np.maximum.reduceat(impact, self.begin[:-1]) if len(code) else np.zeros(0)
-        self.blocks = -(-max(self.n, 1) // BLOCK_ITEMS)
-        self.block_code, at = np.unique(term * self.blocks + item // BLOCK_ITEMS, return_index=True)
-        self.block_top = np.maximum.reduceat(impact, at) if len(code) else np.zeros(0)
+        # largest impact of each term in each block of items; the last block keeps the table small
+        self.block_items = max(BLOCK_ITEMS, -(-self.n // BLOCKS))
+        self.block_top = np.zeros((len(self.terms), -(-max(self.n, 1) // self.block_items)), np.float32)
+        np.maximum.at(self.block_top, (term, item // self.block_items), np.nextafter(impact.astype(np.float32), np.float32(9)))
 
 
 def _lookup(codes: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -128,28 +131,38 @@ def retrieve(index: Index, passage: np.ndarray, term: np.ndarray, threshold: flo
     running = total - (total[start] - top[start])[row]
     weak = running < threshold - 1e-9
     n_weak = np.bincount(row, weak, minlength=len(start)).astype(np.int64)
-    rest = np.where(n_weak > 0, running[np.maximum(start + n_weak - 1, 0)], 0.0)  # bound of the weak terms
+    # block maxima of the weak terms, summed for each passage and block of items
+    by_block = np.where(weak[:, None], index.block_top[term], np.float32(0))
+    weak_block = np.add.reduceat(by_block, start, axis=0)
     strong = np.flatnonzero(~weak)
     if not len(strong):
         return none
     who, posting = _pairs(np.diff(index.begin), index.begin[:-1], term[strong])
-    code, back = np.unique(row[strong][who] * index.n + index.item[posting], return_inverse=True)
-    known = np.bincount(back, index.impact[posting], minlength=len(code))
-    r, item = code // index.n, code % index.n
-    alive = known + rest[r] >= threshold - 1e-9
-    r, item, known = r[alive], item[alive], known[alive]
-    # the weak terms' block maxima, then their impacts, for what is left
-    for last in (False, True):
-        who, at = _pairs(n_weak, start, r)
-        if last:
-            more = _lookup(index.code, index.impact, term[at] * index.n + item[who])
-        else:
-            more = _lookup(index.block_code, index.block_top, term[at] * index.blocks + item[who] // BLOCK_ITEMS)
-        bound = known + np.bincount(who, more, minlength=len(r))
-        alive = bound >= threshold - 1e-9
-        if not last:
-            r, item, known = r[alive], item[alive], known[alive]
-    return passage[start[r[alive]]], item[alive], bound[alive]
+    owner, item = row[strong][who], index.item[posting]
+    step, found = max(1, (1 << 22) // index.n), []
+    cut = np.searchsorted(owner, np.arange(0, len(start) + step, step))
+    if index.n > DENSE_ITEMS:
+        code, back = np.unique(owner * index.n + item, return_inverse=True)
+        known = np.bincount(back, index.impact[posting])
+        r, item, cut = code // index.n, code % index.n, []
+        at = np.flatnonzero(known + weak_block[r, item // index.block_items] >= threshold - 1e-6)
+        found.append((r[at], item[at], known[at]))
+    # few items: impacts of the strong terms in a dense table, a run of passages at a time
+    for k, (a, b) in enumerate(zip(cut, cut[1:])):
+        if a == b:
+            continue
+        low, high = k * step, min((k + 1) * step, len(start))
+        code = (owner[a:b] - low) * index.n + item[a:b]
+        known = np.bincount(code, index.impact[posting[a:b]], minlength=(high - low) * index.n)
+        bound = known.reshape(high - low, index.n) + np.repeat(weak_block[low:high], index.block_items, axis=1)[:, : index.n]
+        at = np.flatnonzero((bound.ravel() >= threshold - 1e-6) & (known > 0))
+        found.append((at // index.n + low, at % index.n, known[at]))
+    r, item, known = (np.concatenate(x) for x in zip(*found))
+    # full scores of what the block maxima leave
+    who, at = _pairs(n_weak, start, r)
+    known = known + np.bincount(who, _lookup(index.code, index.impact, term[at] * index.n + item[who]), minlength=len(r))
+    alive = known >= threshold - 1e-9
+    return passage[start[r[alive]]], item[alive], known[alive]
 
 
 def match_batch(index: Index, data: np.ndarray, offsets: np.ndarray, threshold: float, overlap: float):

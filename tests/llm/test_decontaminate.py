@@ -74,3 +74,12 @@ def test_tables_groups_and_pipeline_rows(spark):
     assert exact and exact <= whole  # several groups, other statistics: copies are found all the same
     assert D.matches(df.limit(0), bench).count() == 0
     assert D.matches(df, bench.limit(0)).count() == 0 and D.clean(df, bench.limit(0)).count() == len(docs)
+
+
+def test_sparse_candidates_give_the_same(monkeypatch):
+    docs, items = corpus(7)
+    index = D.Index([i for i, _ in items], [t or "" for _, t in items])
+    buffer = text_buffer(pa.array([d[1] for d in docs]))
+    dense = D.match_batch(index, *buffer, D.THRESHOLD, D.OVERLAP)
+    monkeypatch.setattr(D, "DENSE_ITEMS", 0)
+    assert [f[:3] for f in D.match_batch(index, *buffer, D.THRESHOLD, D.OVERLAP)] == [f[:3] for f in dense]
