@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessel.llm import chat, decontaminate, fingerprints, licenses, packing, ppm, simhash, tokens, toxicity
+from tessel.llm import chat, decontaminate, fingerprints, licenses, packing, ppm, simhash, substring, tokens, toxicity
 from tessel.llm.words import crc_remainder
 
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring.duplicate_passages(_table(spark, d, "documents"))
+
+
 def op2_simhash_components(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_components(_table(spark, d, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -58,6 +62,7 @@ def op10_sequence_files(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_substring_dedup,
         op2_simhash_components,
         op3_document_fingerprints,
         op4_decontamination,
