@@ -16,9 +16,12 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from tessel import operators as ops  # noqa: E402
+from tessel.sources import join_lines, parse_lines, point_lines, rejected_lines  # noqa: E402
 from tessel.sources.tables import FIXTURE_SQL, fixture  # noqa: E402
+from tessel.sources.text import POINT_FIELDS, RECT_FIELDS  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -129,6 +132,77 @@ def q_union_boundary_collinear(spark, d):
     return ops.rectangle_union(fixture(spark, d, "rect_supp_one"), keep_collinear=True)
 
 
+def q_spatial_aggregate_avg(spark, d):
+    agg = ops.spatial_aggregate(fixture(spark, d, "pts_line"), fixture(spark, d, "rect_part"), value="x")
+    return agg.select("bid", "n_points", "avg_value")
+
+
+def q_grid_aggregate_sum(spark, d):
+    agg = ops.grid_aggregate(fixture(spark, d, "pts_ord"), GRID_W, GRID_H, value="y")
+    return agg.select("cx", "cy", "sum_value", "avg_value")
+
+
+def q_union_chain(spark, d):
+    return ops.rectangle_union(fixture(spark, d, "rect_chain"))
+
+
+def q_join_point_swapped(spark, d):
+    r = fixture(spark, d, "rect_part")
+    odd = F.col("id") % 2 == 1
+    swapped = r.select(
+        "id",
+        F.when(odd, F.col("x2")).otherwise(F.col("x1")).alias("x1"),
+        F.when(odd, F.col("y2")).otherwise(F.col("y1")).alias("y1"),
+        F.when(odd, F.col("x1")).otherwise(F.col("x2")).alias("x2"),
+        F.when(odd, F.col("y1")).otherwise(F.col("y2")).alias("y2"),
+    )
+    return ops.spatial_join_pairs(fixture(spark, d, "pts_line"), swapped, "within")
+
+
+def _lines(df, *cols, tail):
+    """Rows of a table as text lines; ``tail`` is an expression for what follows the last field."""
+    return df.select(F.concat(F.concat_ws(",", *(F.col(c).cast("string") for c in cols)), tail).alias("value"))
+
+
+def _point_lines(spark, d, with_id):
+    p = fixture(spark, d, "pts_line")
+    kind = F.col("id") % 4
+    # trailing commas, a padded number, a line with a field too many
+    tail = F.when(kind == 1, ",,").when(kind == 2, " ").when(kind == 3, ",77").otherwise("")
+    return _lines(p, *(["id"] if with_id else []), "x", "y", tail=tail)
+
+
+def q_text_points(spark, d):
+    return parse_lines(_point_lines(spark, d, False), POINT_FIELDS, False)
+
+
+def q_text_id_points(spark, d):
+    return parse_lines(_point_lines(spark, d, True), POINT_FIELDS, True)
+
+
+def q_text_rejected(spark, d):
+    bad = rejected_lines(_point_lines(spark, d, False), POINT_FIELDS, False)
+    return bad.agg(F.count("*").alias("n_rejected"))
+
+
+def q_text_rectangles(spark, d):
+    lines = _lines(fixture(spark, d, "rect_part"), "x1", "y1", "x2", "y2", tail=F.lit(","))
+    return parse_lines(lines, RECT_FIELDS, False)
+
+
+def q_text_id_rectangles(spark, d):
+    tail = F.when(F.col("id") % 2 == 1, ",extra").otherwise("")
+    return parse_lines(_lines(fixture(spark, d, "rect_part"), "id", "x1", "y1", "x2", "y2", tail=tail), RECT_FIELDS, True)
+
+
+def q_lines_points(spark, d):
+    return point_lines(fixture(spark, d, "pts_cust"))
+
+
+def q_lines_join(spark, d):
+    return join_lines(ops.spatial_join(fixture(spark, d, "pts_line"), fixture(spark, d, "rect_part"), "within"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "points_on_border": q_points_on_border,
@@ -152,6 +226,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_boundary": q_union_boundary,
     "union_envelope": q_union_envelope,
     "union_boundary_collinear": q_union_boundary_collinear,
+    "union_chain": q_union_chain,
+    "spatial_aggregate_avg": q_spatial_aggregate_avg,
+    "grid_aggregate_sum": q_grid_aggregate_sum,
+    "join_point_swapped": q_join_point_swapped,
+    "text_points": q_text_points,
+    "text_id_points": q_text_id_points,
+    "text_rejected": q_text_rejected,
+    "text_rectangles": q_text_rectangles,
+    "text_id_rectangles": q_text_id_rectangles,
+    "lines_points": q_lines_points,
+    "lines_join": q_lines_join,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -290,6 +375,27 @@ ORACLE: dict[str, str] = {
     "union_boundary": _union_sql("rect_supp_one"),
     "union_envelope": _union_sql("rect_supp_many"),
     "union_boundary_collinear": _union_sql("rect_supp_one", collinear=True),
+    # end-to-end rectangles: one region when no position is missing, so its four corners
+    "union_chain": _with("rect_chain")
+    + "SELECT DISTINCT x, y FROM (SELECT min(x1) AS lx, max(x2) AS hx, min(y1) AS ly, max(y2) AS hy FROM rect_chain) e, "
+    "LATERAL (VALUES (lx, ly), (lx, hy), (hx, ly), (hx, hy)) AS c(x, y)",
+    "spatial_aggregate_avg": _with("pts_line", "rect_part")
+    + "SELECT b.id AS bid, count(a.id) AS n_points, avg(a.x) AS avg_value "
+    f"FROM rect_part b LEFT JOIN pts_line a ON {_PT_IN} GROUP BY b.id",
+    "grid_aggregate_sum": _with("pts_ord")
+    + f"SELECT CAST(floor(x / {_D(GRID_W)}) AS BIGINT) AS cx, CAST(floor(y / {_D(GRID_H)}) AS BIGINT) AS cy, "
+    "sum(y) AS sum_value, avg(y) AS avg_value FROM pts_ord WHERE NOT isnan(x) AND NOT isnan(y) GROUP BY 1, 2",
+    "join_point_swapped": _with("pts_line", "rect_part")
+    + f"SELECT b.id AS bid, a.id AS aid FROM rect_part b JOIN pts_line a ON {_PT_IN}",
+    "text_points": _with("pts_line") + "SELECT x, y FROM pts_line WHERE id % 4 <> 3",
+    "text_id_points": _with("pts_line") + "SELECT id, x, y FROM pts_line",
+    "text_rejected": _with("pts_line") + "SELECT count(*) AS n_rejected FROM pts_line WHERE id % 4 = 3",
+    "text_rectangles": _with("rect_part") + "SELECT x1, y1, x2, y2 FROM rect_part",
+    "text_id_rectangles": _with("rect_part") + "SELECT id, x1, y1, x2, y2 FROM rect_part",
+    "lines_points": _with("pts_cust")
+    + "SELECT CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) AS value FROM pts_cust",
+    "lines_join": "SELECT CAST(bid AS VARCHAR) || ',' || aids AS value FROM ("
+    + _with("pts_line", "rect_part") + _LIST.format(b="rect_part", a="pts_line", cond=_PT_IN) + ") t",
     "distinct_points": _with("pts_cust") + "SELECT DISTINCT x, y FROM pts_cust WHERE NOT isnan(x) AND NOT isnan(y)",
     "envelope": _with("rect_supp_many")
     + "SELECT DISTINCT x, y FROM (SELECT min(least(x1, x2)) AS lx, min(least(y1, y2)) AS ly, "

@@ -169,7 +169,7 @@ def spatial_join(a: DataFrame, b: DataFrame, predicate: str | None = None, *, a_
         b,
         b_id,
         lambda bd: _pairs(a, bd, predicate, a_id),
-        [F.array_sort(F.collect_list("aid")).alias("aids")],
+        [F.sort_array(F.collect_list("aid")).alias("aids")],
     )
 
 

@@ -51,14 +51,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessel.plans.partitioning import spread
+from tessel.session import materialize
 
 # Fixed values of the plan (not tuning knobs of the data):
 TOP = 4096  # level of the single catch-all cell for boxes with infinite corners
 CLAMP = float(2**50)  # cell indexes are clamped to +/- this (keeps floor() in BIGINT)
 MIN_LEVEL = -1074  # smallest power of two a double can hold
 MAX_LEVEL = 1023  # largest
-MAX_BROADCAST_HOT = 20_000  # hot-cell rows that may be broadcast
-HOT_SAMPLE_ROWS = 200_000  # input rows sampled per side for hot-cell detection
+MAX_BROADCAST_HOT = 200_000  # hot-cell rows broadcast (under 10 MB); the rest is left to AQE
+HOT_SAMPLE_ROWS = 200_000  # input rows sampled per side for hot-cell detection, at least
+HOT_SAMPLES = 256  # sampled rows that a cell of `hot_rows` rows is to have, however large the input
+HOT_HITS = 8  # sampled rows a side must have in a cell before its estimate counts
 DEFAULT_HOT_ROWS = 1_000_000  # rows of one side in one cell before it is split
 DEFAULT_HOT_WORK = 200_000_000  # candidate pairs in one cell before it is split
 _ZERO_EXTENT = -100_000  # exponent recorded for boxes of zero extent
@@ -259,8 +262,8 @@ def _hot_cells(a_cells: DataFrame, b_cells: DataFrame, f_a: float, f_b: float, h
     """Cells too big for one task, with salt counts per side.
 
     ``a_cells``/``b_cells`` are cell rows of samples of the inputs taken at
-    fractions ``f_a``/``f_b`` (before emission, so this pass shuffles a bounded
-    amount whatever the input size); each sampled row counts ``1/f``.  A cell is hot when
+    fractions ``f_a``/``f_b`` (before emission, so this pass shuffles a small
+    share of the input); each sampled row counts ``1/f``.  A cell is hot when
     one side has more than ``hot_rows`` rows or it holds more than ``hot_work``
     candidate pairs.  The larger side is split so each task gets about
     ``hot_work`` pairs; a side above ``hot_rows`` is split regardless, so both
@@ -268,29 +271,37 @@ def _hot_cells(a_cells: DataFrame, b_cells: DataFrame, f_a: float, f_b: float, h
     None when no cell is hot.
     """
     wa, wb = repr(1.0 / f_a), repr(1.0 / f_b)
+    least_a, least_b = (0.0 if f >= 1.0 else HOT_HITS / f for f in (f_a, f_b))
     tagged = a_cells.selectExpr(
         "_alvl AS lvl", "_acx AS cx", "_acy AS cy", f"{wa}D AS na", "0.0D AS nb"
     ).unionByName(b_cells.selectExpr("_blvl AS lvl", "_bcx AS cx", "_bcy AS cy", "0.0D AS na", f"{wb}D AS nb"))
     hot = (
         tagged.groupBy("lvl", "cx", "cy")
         .agg(F.sum("na").alias("ea"), F.sum("nb").alias("eb"))
+        # a sampled side counts from HOT_HITS sampled rows on: fewer say nothing about the cell
+        .selectExpr(
+            "lvl", "cx", "cy", f"CASE WHEN ea >= {least_a!r}D THEN ea ELSE 0D END AS ea",
+            f"CASE WHEN eb >= {least_b!r}D THEN eb ELSE 0D END AS eb",
+        )
         .filter(f"ea > {hot_rows} OR eb > {hot_rows} OR ea * eb > {hot_work}")
+        .withColumn("_size", F.expr("greatest(ea, eb, ea * eb)"))
         .selectExpr(
             "lvl",
             "cx",
             "cy",
             f"CAST(greatest(1, ceil(ea / {hot_rows}), CASE WHEN ea >= eb THEN ceil(ea * eb / {hot_work}) END) AS BIGINT) AS sa",
             f"CAST(greatest(1, ceil(eb / {hot_rows}), CASE WHEN ea < eb THEN ceil(ea * eb / {hot_work}) END) AS BIGINT) AS sb",
+            "_size",
         )
+        # the largest cells are split by salting; should there be more, AQE's skew join has the others
+        .orderBy(F.desc("_size"), "lvl", "cx", "cy")
+        .limit(MAX_BROADCAST_HOT)
+        .drop("_size")
     )
-    # Hot cells are cells of sampled rows, so there are at most as many as the
-    # sample has cell rows: the collect is bounded by the sample size, not the data.
-    rows = hot.collect()
-    if not rows:
-        return None
-    table = a_cells.sparkSession.createDataFrame(rows, schema=hot.schema)
-    # broadcast only a checked-small table; a larger one is shuffle-joined
-    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_HOT else table
+    # written down once: both sides must salt by the same table
+    table, _ = materialize(hot, "hot-cells")
+    # at most MAX_BROADCAST_HOT rows, so the inputs are never shuffled on the unsalted cell key
+    return None if table.isEmpty() else F.broadcast(table)
 
 
 def _salt(df: DataFrame, hot: DataFrame, p: str, mine: str, theirs: str, hash_cols) -> DataFrame:
@@ -346,8 +357,9 @@ def grid_join(
     # (a stream cannot be sampled ahead of time: its micro-batches are joined as they come)
     if not streaming and (plan.n_a > hot_rows or plan.n_b > hot_rows or plan.n_a * plan.n_b > hot_work):
         # each side sampled to about HOT_SAMPLE_ROWS rows (a small side is counted exactly)
-        f_a = min(1.0, HOT_SAMPLE_ROWS / max(1, plan.n_a))
-        f_b = min(1.0, HOT_SAMPLE_ROWS / max(1, plan.n_b))
+        # and never so thin that a few sampled rows stand for a hot cell
+        f_a = min(1.0, max(HOT_SAMPLE_ROWS / max(1, plan.n_a), HOT_SAMPLES / hot_rows))
+        f_b = min(1.0, max(HOT_SAMPLE_ROWS / max(1, plan.n_b), HOT_SAMPLES / hot_rows))
         a_s = a if f_a >= 1.0 else a.sample(fraction=f_a, seed=7)
         b_s = b if f_b >= 1.0 else b.sample(fraction=f_b, seed=11)
         hot = _hot_cells(
@@ -368,9 +380,9 @@ def grid_join(
     if streaming:
         pass
     elif plan.n_a >= plan.n_b:
-        a_cells = spread(a_cells, *[f"_a{k}" for k in keys])
+        a_cells = spread(a_cells, plan.n_a, *[f"_a{k}" for k in keys])
     else:
-        b_cells = spread(b_cells, *[f"_b{k}" for k in keys])
+        b_cells = spread(b_cells, plan.n_b, *[f"_b{k}" for k in keys])
     cond = " AND ".join(f"_a{k} = _b{k}" for k in keys)
     once = "_alvl = greatest(_aown, _bown)"
     if not a_point:

@@ -7,4 +7,10 @@ from tessel.sources.sinks import (  # noqa: F401
     write_parquet,
 )
 from tessel.sources.tables import FIXTURE_SQL, FIXTURES, fixture  # noqa: F401
-from tessel.sources.text import read_points, read_rectangles, read_window  # noqa: F401
+from tessel.sources.text import (  # noqa: F401
+    parse_lines,
+    read_points,
+    read_rectangles,
+    read_window,
+    rejected_lines,
+)

@@ -117,7 +117,20 @@ def rect_supp_one(spark, sf_dir):
     return _rect_supp(spark, sf_dir, 6.0, 30.0)
 
 
+def rect_chain(spark, sf_dir):
+    """End-to-end unit rectangles, a region as long as the table, in no order of place."""
+    p = _table(spark, sf_dir, "part")
+    return p.select(
+        F.col("p_partkey").alias("id"),
+        _d("p_partkey").alias("x1"),
+        F.lit(0.0).alias("y1"),
+        (_d("p_partkey") + 1.0).alias("x2"),
+        F.lit(1.0).alias("y2"),
+    ).orderBy(F.xxhash64("id"))
+
+
 FIXTURES = {
+    "rect_chain": rect_chain,
     "pts_emb": pts_emb,
     "pts_cust": pts_cust,
     "pts_ord": pts_ord,
@@ -130,6 +143,8 @@ FIXTURES = {
 
 # DuckDB twins of the fixtures above (tables are pre-registered views).
 FIXTURE_SQL = {
+    "rect_chain": "SELECT p_partkey AS id, CAST(p_partkey AS DOUBLE) AS x1, CAST(0 AS DOUBLE) AS y1, "
+    "CAST(p_partkey AS DOUBLE) + 1.0 AS x2, CAST(1 AS DOUBLE) AS y2 FROM part",
     "pts_emb": "SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, "
     "CAST(embedding[2] AS DOUBLE) AS y FROM embeddings",
     "pts_cust": "SELECT c_custkey AS id, CAST(c_nationkey AS DOUBLE) AS x, "

@@ -177,6 +177,8 @@ def test_sampled_hot_detection_keeps_every_pair(spark, monkeypatch):
     from tessel.functions.predicates import point_in_rect
 
     monkeypatch.setattr(G, "HOT_SAMPLE_ROWS", 60)  # force sampling (fraction < 1) on small data
+    monkeypatch.setattr(G, "HOT_SAMPLES", 6)
+    monkeypatch.setattr(G, "HOT_HITS", 2)
     rng = random.Random(31)
     pts = [(1 + rng.random(), 1 + rng.random()) for _ in range(900)] + [(rng.uniform(0, 40), rng.uniform(0, 40)) for _ in range(300)]
     rects = _scene(rng, 120, 38, 4) + [(0, 0, 3, 3)] * 5
@@ -188,3 +190,15 @@ def test_sampled_hot_detection_keeps_every_pair(spark, monkeypatch):
     got = grid_join(a, ("ax", "ay", "ax", "ay"), b, ("bx1", "by1", "bx2", "by2"),
                     point_in_rect("ax", "ay", "bx1", "by1", "bx2", "by2"), hot_rows=40, hot_work=400)
     assert _pairs(got.select("bid", "aid")) == _brute_points(pts, rects)
+
+
+def test_uniform_cells_are_not_hot_when_a_sampled_row_weighs_more_than_the_limit(spark):
+    from tessel.plans import grid as G
+
+    a = spark.range(4000).selectExpr("1 AS _alvl", "id % 400 AS _acx", "0L AS _acy")
+    b = spark.range(4000).selectExpr("1 AS _blvl", "id % 400 AS _bcx", "0L AS _bcy")
+    # every sampled row stands for 1000: far above the limit of 100 rows
+    assert G._hot_cells(a.sample(0.05, seed=1), b.sample(0.05, seed=2), 0.001, 0.001, 100, 10**5) is None
+    crowded = a.unionByName(spark.range(400).selectExpr("1 AS _alvl", "7L AS _acx", "0L AS _acy"))
+    hot = G._hot_cells(crowded, b.limit(0), 0.001, 0.001, 100, 10**12).collect()
+    assert any(r.cx == 7 and r.sa > 1 for r in hot)
