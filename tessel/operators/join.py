@@ -18,7 +18,7 @@ Predicates (``predicate=``)
 
 Plan: both sides go through :func:`tessel.plans.grid.grid_join` (equi-join on
 multi-level grid cells, salted hot cells), then the exact predicate.  The list
-form groups pairs per distinct B row and left-joins back to B, so duplicate B
+form groups pairs per distinct B row together with B's own rows, so duplicate B
 rows each keep their list without row ids.  Lists are as long as the data makes
 them; use the pairs form when one rectangle may match a large share of A.
 """

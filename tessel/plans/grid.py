@@ -30,10 +30,9 @@ Skew
     hot cell get a deterministic salt ``pmod(xxhash64(row), n)`` and the other
     side's rows of that cell are copied to all ``n`` salts (both sides are
     split when both are large), so each task gets a bounded share.  Hot cells
-    are estimated from seeded samples of about ``HOT_SAMPLE_ROWS`` rows per side;
-    they can only be cells of sampled rows, so their number is bounded by the
-    sample size.  They are broadcast only when at most ``MAX_BROADCAST_HOT``,
-    otherwise shuffle-joined.  The pass is skipped when the input sizes alone
+    are estimated from seeded samples at a rate tied to the limits, so that a cell at
+    a limit has many sampled rows at any input size.  The largest
+    ``MAX_BROADCAST_HOT`` are broadcast and salted; AQE's skew join has the rest.  The pass is skipped when the input sizes alone
     prove that no cell can be hot.
 
 Jobs run by :func:`grid_join` before the lazy result: one aggregate for the
