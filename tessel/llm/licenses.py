@@ -237,3 +237,58 @@ def scan(
         F.coalesce(F.array_max(F.transform(everything, lambda m: m["score"])), F.lit(0.0)).alias("score"),
         everything.alias("matches"),
     )
+
+
+def oracle_sql() -> str:
+    """The scan of ``documents`` as DuckDB SQL (every place by plain list search)."""
+    vocabulary = _vocabulary(TEMPLATES, BASE)
+    index = sorted({w for t, _ in TEMPLATES.values() for w in t.split()} - COMMON)
+    words = lambda s: "[" + ", ".join(f"'{w}'" for w in s.split()) + "]"
+
+    def places(phrase: str) -> str:
+        n = len(phrase.split())
+        return (
+            f"CASE WHEN list_has_all(a, {words(phrase)}) THEN list_filter(range(len(a)), "
+            f"lambda i: a[i + 1] = '{phrase.split()[0]}' AND a[i + 1 : i + {n}] = {words(phrase)}) ELSE [] END"
+        )
+
+    def hit(j: int, w: str) -> str:
+        return f"s + {j} >= 0 AND a[s + {j + 1}] = '{w}'"
+
+    idf = {w: f"v[{vocabulary.index(w) + 1}]" for w in vocabulary}
+    found, shares = [], []
+    for k, (name, (whole, key)) in enumerate(sorted(TEMPLATES.items())):
+        w, n = whole.split(), len(key.split())
+        at = next(i for i in range(len(w)) if w[i : i + n] == key.split())
+        agree = " + ".join(
+            f"(CASE WHEN list_contains(rare, '{x}') AND {hit(j, x)} THEN 1 ELSE 0 END)" for j, x in enumerate(w) if x in index
+        )
+        weight = [idf[x] if x not in COMMON else "0.1::DOUBLE" for x in w]
+        got = " + ".join(f"(CASE WHEN {hit(j, x)} THEN {g} ELSE 0 END)" for j, (x, g) in enumerate(zip(w, weight)))
+        found.append(
+            f"list_filter(list_transform({places(key)}, lambda i: i - {at}), lambda s: ({agree}) >= 2) AS t{k}"
+        )
+        shares.append(f"list_max(list_transform(t{k}, lambda s: least(({got}) / ({' + '.join(weight)}), 1.0)))")
+    base = [f"{places(p)} AS b{k}" for k, p in enumerate(BASE.values())]
+    all_base = "list_concat(" * (len(BASE) - 1) + "b0" + "".join(f", b{k})" for k in range(1, len(BASE)))
+    base_label = [f"(CASE WHEN len(b{k}) > 0 THEN ['{n}'] ELSE [] END)" for k, n in enumerate(BASE)]
+    own_label = [f"(CASE WHEN len(t{k}) > 0 THEN ['{n}'] ELSE [] END)" for k, n in enumerate(sorted(TEMPLATES))]
+    joined = lambda parts: f"array_to_string(list_sort(list_distinct({' || '.join(parts)})), ',')"
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return (
+        f"WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM documents), "
+        "d AS (SELECT count(*) AS n, ["
+        + ", ".join(f"count(*) FILTER (WHERE list_contains(a, '{x}'))" for x in vocabulary)
+        + "] AS df FROM w), f AS (SELECT list_transform(df, lambda x: ln((n + 1) / (x + 1)) + 1) AS v FROM d), "
+        "r AS (SELECT v, list_transform(list_sort(["
+        + ", ".join(f"{{'k': -{idf[x]}, 'w': '{x}'}}" for x in index)
+        + "]), lambda x: x.w) AS ranked FROM f), "
+        f"h AS (SELECT *, list_filter(ranked, lambda x: list_contains(a, x))[1:{RARE}] AS rare FROM w, r), "
+        f"p AS (SELECT *, {', '.join(base + found)} FROM h) "
+        f"SELECT doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(len({all_base}) AS BIGINT) AS n_base, "
+        f"CAST(list_min({all_base}) AS BIGINT) AS first_word, CAST(list_max({all_base}) AS BIGINT) AS last_word, "
+        f"{joined(base_label)} AS base_labels, {joined(base_label + own_label)} AS labels, "
+        f"round(coalesce(greatest(CASE WHEN len({all_base}) > 0 THEN 1.0::DOUBLE END, {', '.join(shares)}), 0.0), 6) AS score "
+        "FROM p"
+    )

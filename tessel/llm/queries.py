@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessel.llm import chat, decontaminate, fingerprints, licenses, packing, ppm, simhash, substring, tokens, toxicity
 from tessel.llm.words import crc_remainder
@@ -39,7 +40,8 @@ def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, d: str) -> DataFrame:
-    return licenses.scan(_table(spark, d, "documents"))
+    found = licenses.scan(_table(spark, d, "documents"))
+    return found.drop("matches").withColumn("score", F.round("score", 6))
 
 
 def op8_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
@@ -74,4 +76,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_sequence_files,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_license_scan": licenses.oracle_sql()}
