@@ -9,8 +9,8 @@ exact predicate only runs on nearby candidates.
 Levels
     Cells at level ``l`` are squares of side ``2**l``.  A box lives at the
     smallest level whose side is at least its extent (``max(width, height)``)
-    divided by ``2**shift``, but never below the data-derived floor level
-    ``k``; there it covers at most (2**shift + 1)**2 cells (one more per axis
+    divided by ``2**shift``, but never below the floor level ``k`` of least
+    estimated cost; there it covers at most (2**shift + 1)**2 cells (one more per axis
     under rounding).  Point-vs-box joins use shift 1 (cells half the typical
     box), box-vs-box joins shift 0.  So a box is copied into a handful of
     cells however large it is, and no box is "too large for the grid".
@@ -45,6 +45,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +64,8 @@ HOT_SAMPLES = 256  # sampled rows that a cell of `hot_rows` rows is to have, how
 HOT_HITS = 8  # sampled rows a side must have in a cell before its estimate counts
 DEFAULT_HOT_ROWS = 1_000_000  # rows of one side in one cell before it is split
 DEFAULT_HOT_WORK = 200_000_000  # candidate pairs in one cell before it is split
+MAX_FLOORS = 48  # floor levels whose cost is estimated
+COPY_COST = 20.0  # a copied (shuffled) row costs about as much as this many candidate tests
 _ZERO_EXTENT = -100_000  # exponent recorded for boxes of zero extent
 _INFINITE = 100_000  # exponent recorded for boxes with a non-finite corner
 
@@ -129,13 +132,65 @@ class GridPlan:
         )
 
 
+def _cheapest_floor(rows, positive, shift: int) -> int:
+    """Floor level with the least estimated work: row copies (shuffled) plus candidate pairs.
+
+    Every (side, exponent) group of the histogram is taken as uniform over its own bounding
+    box, so boxes that lie where the other side has nothing cost nothing: a low floor gives
+    small boxes small cells, a high one spares the other side a copy per level.  A floor only
+    changes the work, never the result.
+    """
+    median, half, run = positive[0][0], sum(n for _, n in positive) / 2.0, 0
+    for e, n in positive:
+        run += n
+        if run >= half:
+            median = e
+            break
+    exponents = sorted({e for e, _ in positive})
+    step = -(-len(exponents) // MAX_FLOORS)
+    floors = sorted({*exponents[::step], exponents[-1], median})
+
+    def groups(tag):
+        some = [r for r in rows if r["_side"] == tag and r["_e"] != _INFINITE and r["minx"] is not None]
+        cols = [np.array([r[c] for r in some], float) for c in ("n", "minx", "miny", "maxx", "maxy")]
+        return np.array([r["_e"] for r in some], np.int64), cols
+
+    (ea, (na, ax1, ay1, ax2, ay2)), (eb, (nb, bx1, by1, bx2, by2)) = groups("a"), groups("b")
+    costs = []
+    with np.errstate(all="ignore"):
+        size_a, size_b = np.ldexp(1.0, ea.clip(-1074, 1023)), np.ldexp(1.0, eb.clip(-1074, 1023))
+        size_a[ea == _ZERO_EXTENT] = size_b[eb == _ZERO_EXTENT] = 0.0
+        for f in floors:
+            la, lb = np.maximum(f, ea) - shift, np.maximum(f, eb) - shift
+            # a row is copied at its own level and at every higher level of the other side
+            copies = 0.0
+            for n, size, own, other in ((na, size_a, la, lb), (nb, size_b, lb, la)):
+                for level in np.unique(other):
+                    at = np.maximum(own, level)
+                    cells = np.where(level > own, (size / np.ldexp(1.0, at.clip(-1074, 1023)) + 1) ** 2, 0.0)
+                    copies += float((n * cells).sum())
+                copies += float((n * (size / np.ldexp(1.0, own.clip(-1074, 1023)) + 1) ** 2).sum())
+            cell = np.ldexp(1.0, np.maximum(la[:, None], lb[None, :]).clip(-1074, 1023))
+            pairs = na[:, None] * nb[None, :]
+            for a1, a2, b1, b2 in ((ax1, ax2, bx1, bx2), (ay1, ay2, by1, by2)):
+                shared = np.minimum(a2[:, None], b2[None, :]) - np.maximum(a1[:, None], b1[None, :]) + cell
+                reach = size_a[:, None] + size_b[None, :] + cell
+                share_a = np.minimum(1.0, shared / ((a2 - a1)[:, None] + cell))
+                share_b = np.minimum(1.0, shared / ((b2 - b1)[None, :] + cell))
+                pairs = pairs * np.where(shared > 0, share_a * share_b * np.minimum(1.0, reach / shared), 0.0)
+            cost = COPY_COST * copies + float(pairs.sum())
+            costs.append(cost if math.isfinite(cost) else math.inf)
+    best = min(costs)
+    return (median if math.isinf(best) else floors[costs.index(best)]) - shift
+
+
 def plan_grid(a: DataFrame, a_box, b: DataFrame, b_box, shift: int = 0) -> GridPlan:
     """One aggregate job over both inputs -> floor level and the exact level set per side.
 
     Groups by (side, ceil(log2(extent))): a code-generated hash aggregate whose
     output has one row per distinct exponent (a few dozen at most), so the
-    driver receives a bounded summary.  The floor is the count-weighted median
-    exponent of boxes with positive extent, minus ``shift``.
+    driver receives a bounded summary.  The floor is the exponent (of boxes with
+    positive extent, minus ``shift``) of least estimated cost, see :func:`_cheapest_floor`.
 
     ``shift`` makes cells ``2**shift`` times finer than the extent of the boxes
     living on them (a box then spans up to 2**shift + 1 cells per axis): fewer
@@ -166,12 +221,7 @@ def plan_grid(a: DataFrame, a_box, b: DataFrame, b_box, shift: int = 0) -> GridP
     )
     positive = sorted((r["_e"], r["n"]) for r in rows if r["_e"] not in (_ZERO_EXTENT, _INFINITE))
     if positive:
-        half, run = sum(n for _, n in positive) / 2.0, 0
-        for e, n in positive:
-            run += n
-            if run >= half:
-                floor = e - shift
-                break
+        floor = _cheapest_floor(rows, positive, shift)
     else:
         # no box has a positive extent: size cells from the bounding box and count
         boxes = [r for r in rows if r["minx"] is not None]

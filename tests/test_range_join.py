@@ -202,3 +202,23 @@ def test_uniform_cells_are_not_hot_when_a_sampled_row_weighs_more_than_the_limit
     crowded = a.unionByName(spark.range(400).selectExpr("1 AS _alvl", "7L AS _acx", "0L AS _acy"))
     hot = G._hot_cells(crowded, b.limit(0), 0.001, 0.001, 100, 10**12).collect()
     assert any(r.cx == 7 and r.sa > 1 for r in hot)
+
+
+def test_floor_follows_the_cost_not_the_median_size(spark):
+    from tessel.plans.grid import plan_grid
+
+    rng = random.Random(41)
+    pts = [(rng.uniform(0, 100), rng.uniform(0, 100)) for _ in range(4000)]
+    tiny = [(x, y, x + 0.1, y + 0.1) for x, y in ((rng.uniform(0, 100), rng.uniform(0, 100)) for _ in range(400))]
+    away = [(x, 5000, x + 90, 5090) for x in (rng.uniform(5000, 9000) for _ in range(440))]
+    a = points_df(spark, pts)
+    box, rect = ("x", "y", "x", "y"), ("x1", "y1", "x2", "y2")
+    small = plan_grid(a, box, rects_df(spark, tiny), rect, shift=1).floor
+    # larger rectangles elsewhere outnumber the tiny ones, which keep their small cells
+    assert plan_grid(a, box, rects_df(spark, tiny + away), rect, shift=1).floor == small
+    assert _pairs(ops.spatial_join_pairs(a, rects_df(spark, tiny + away))) == _brute_points(pts, tiny + away)
+    # a few rectangles on each of many levels: no copy of every point for each of them
+    tail = [(50, 50, 50 + 2.0**-k, 50 + 2.0**-k) for k in range(1, 30)]
+    plan = plan_grid(a, box, rects_df(spark, tail), rect, shift=1)
+    assert len(plan.b_levels) <= 4
+    assert _pairs(ops.spatial_join_pairs(a, rects_df(spark, tail))) == _brute_points(pts, tail)
