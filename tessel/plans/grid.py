@@ -432,12 +432,37 @@ def grid_join(
         a_cells = spread(a_cells, plan.n_a, *[f"_a{k}" for k in keys])
     else:
         b_cells = spread(b_cells, plan.n_b, *[f"_b{k}" for k in keys])
-    cond = " AND ".join(f"_a{k} = _b{k}" for k in keys)
-    once = "_alvl = greatest(_aown, _bown)"
-    if not a_point:
+    joined = a_cells.join(b_cells, _match(a_box, b_box, keys) & predicate, "inner")
+    return joined.select(*a_cols, *b_cols)
+
+
+def _match(a_box, b_box, keys) -> Column:
+    """Equal cells, and the one cell of the pair: at the higher own level, holding the corner
+    ``(max x1, max y1)`` of the intersection."""
+    cond = " AND ".join(f"_a{k} = _b{k}" for k in keys) + " AND _alvl = greatest(_aown, _bown)"
+    if not (a_box[0] == a_box[2] and a_box[1] == a_box[3]):
         # a point sits in one cell per level; boxes need the reference-cell rule
         rx = sql_cell(f"greatest({_q(a_box[0])}, {_q(b_box[0])})", "_alvl")
         ry = sql_cell(f"greatest({_q(a_box[1])}, {_q(b_box[1])})", "_alvl")
-        once += f" AND (_alvl = {TOP} OR ({rx} = _acx AND {ry} = _acy))"
-    joined = a_cells.join(b_cells, F.expr(cond) & predicate & F.expr(once), "inner")
-    return joined.select(*a_cols, *b_cols)
+        cond += f" AND (_alvl = {TOP} OR ({rx} = _acx AND {ry} = _acy))"
+    return F.expr(cond)
+
+
+def join_cells(
+    a_cells: DataFrame, a_box, b_cells: DataFrame, b_box, predicate: Column, n_a: int, n_b: int,
+    *, hot_rows: int = DEFAULT_HOT_ROWS, hot_work: int = DEFAULT_HOT_WORK,
+) -> DataFrame:
+    """:func:`grid_join` of ``n_a`` and ``n_b`` rows already in cells (of :func:`emit_cells`, with
+    prefixes ``_a`` and ``_b``), which may leave rows out of some cells.  Hot cells are counted
+    exactly, unless the numbers of rows allow none."""
+    keys = ["lvl", "cx", "cy"]
+    a_cols, b_cols = a_cells.columns, b_cells.columns
+    hot = None
+    if n_a > hot_rows or n_b > hot_rows or n_a * n_b > hot_work:
+        hot = _hot_cells(a_cells, b_cells, 1.0, 1.0, hot_rows, hot_work)
+    if hot is not None:
+        a_cells = _salt(a_cells, hot, "_a", "sa", "sb", [c for c in a_cols if not c.startswith("_")])
+        b_cells = _salt(b_cells, hot, "_b", "sb", "sa", [c for c in b_cols if not c.startswith("_")])
+        keys = keys + ["s_sa", "s_sb"]
+    joined = a_cells.join(b_cells, _match(a_box, b_box, keys) & predicate, "inner")
+    return joined.select(*(c for c in a_cols + b_cols if not c.startswith("_")))

@@ -222,3 +222,21 @@ def test_floor_follows_the_cost_not_the_median_size(spark):
     plan = plan_grid(a, box, rects_df(spark, tail), rect, shift=1)
     assert len(plan.b_levels) <= 4
     assert _pairs(ops.spatial_join_pairs(a, rects_df(spark, tail))) == _brute_points(pts, tail)
+
+
+def test_join_of_cell_rows_splits_hot_cells_and_keeps_every_pair(spark):
+    from tessel.functions.predicates import rect_intersects
+    from tessel.plans import grid as G
+
+    rng = random.Random(7)
+    a_r, b_r = ([(x, y, x + 2, y + 2) for x, y in ((rng.uniform(0, 6), rng.uniform(0, 6)) for _ in range(n))] for n in (90, 40))
+    a_box, b_box = (tuple(f"{p}{c}" for c in ("x1", "y1", "x2", "y2")) for p in "ab")
+    a, b = (
+        rects_df(spark, r).selectExpr(f"id AS {p}id", *[f"{c} AS {p}{c}" for c in ("x1", "y1", "x2", "y2")])
+        for p, r in (("a", a_r), ("b", b_r))
+    )
+    plan = G.plan_grid(a, a_box, b, b_box)
+    cells = G.emit_cells(a, a_box, plan, plan.b_levels, "_a"), G.emit_cells(b, b_box, plan, plan.a_levels, "_b")
+    got = G.join_cells(cells[0], a_box, cells[1], b_box, rect_intersects(*a_box, *b_box), 90, 40, hot_rows=5, hot_work=50)
+    assert got.columns == ["aid", *a_box, "bid", *b_box]
+    assert _pairs(got.select("bid", "aid")) == _brute_rects(a_r, b_r, "intersects")
