@@ -1,12 +1,14 @@
 """Licence scan with a positional rare-token index, in DataFrame functions only.
 
-Templates are word sequences with one mandatory key phrase each.  Their index
-maps a word to its postings ``(template, position)``.  A file's licence words are
-ranked by inverse document frequency over all documents; the postings of its
-``RARE`` highest are turned into placements (file position minus template
-position), placements on which two rare words agree survive the intersection, and
-the template counts only where its key phrase stands word for word.  The score is
-the idf-weighted share of the template's words found at their places.
+Templates are word sequences with one mandatory key phrase each.  The words of
+each key phrase are ranked by inverse document frequency over all documents, and
+the index maps the ``RARE`` highest of every template to their postings
+``(template, position)``.  A file's postings are turned into placements (file
+position minus template position), placements on which two rare words agree survive
+the intersection, and the template counts only where its key phrase stands word for
+word: everywhere it does, since there all of its words agree, however many other
+licences the file quotes.  The score is the idf-weighted share of the template's
+words found at their places.
 
 All of it happens inside the row: the text is split once, and only files that hold
 a licence word evaluate the rest.  One aggregate over all documents (a row for
@@ -60,7 +62,7 @@ TEMPLATES = {
     ),
 }
 
-RARE = 8  # highest-idf licence words of a file whose postings are looked up
+RARE = 8  # highest-idf words of a key phrase whose postings are looked up
 #: words too common in any prose to tell a licence: never index terms
 COMMON = frozenset("a and any are by for free in is of or out this the to under use with without".split())
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -75,9 +77,19 @@ def words_of(text: str) -> Column:
 
 def _vocabulary(templates: dict[str, tuple[str, str]], base: dict[str, str]) -> list[str]:
     found = {w for t, _ in templates.values() for w in t.split()} - COMMON
+    found |= {w for _, key in templates.values() for w in _index_words(key)}
     return sorted(found | {w for p in base.values() for w in p.split()})
 
 
+def _index_words(key: str) -> set[str]:
+    """The words of a key phrase that may be looked up: common ones only where it has no other."""
+    return set(key.split()) - COMMON or set(key.split())
+
+
+def _key_at(whole: list[str], key: list[str]) -> int:
+    return next(i for i in range(len(whole)) if whole[i : i + len(key)] == key)
+
+
 def _strings(items: list[str]) -> Column:
     return F.array(*map(F.lit, items)) if items else F.array().cast("array<string>")
 
@@ -113,8 +125,18 @@ def scan(
     vocabulary = _vocabulary(templates, base)
     n_docs, df = document_frequencies(docs, vocabulary)
     idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 1)) + 1.0 for w in vocabulary}
-    index = sorted({w for t, _ in templates.values() for w in t.split()} - COMMON, key=lambda w: (-idf[w], w))
     names = sorted(templates)
+    index: dict[str, list[tuple[int, int]]] = {}  # postings of the words looked up
+    lone = []  # templates of which a place has a single posting
+    for t, name in enumerate(names):
+        whole, key = templates[name][0].split(), templates[name][1].split()
+        at = _key_at(whole, key)
+        looked = sorted(_index_words(templates[name][1]), key=lambda w: (-idf[w], w))[: max(1, rare)]
+        places_of = [(w, at + i) for i, w in enumerate(key) if w in looked]
+        for w, i in places_of:
+            index.setdefault(w, []).append((t, i))
+        if len(places_of) == 1:
+            lone.append(t)
 
     arr, lead = F.col("_arr"), F.col("_lead")
     rows = docs.select("doc_id", words_of("text").alias("_arr"))
@@ -134,8 +156,7 @@ def scan(
     rows = rows.select(
         "doc_id", "_arr", "_lead", "n_words",
         F.when(F.size("_held") > 0, located).otherwise(none).alias("_hits"),
-        # the file's highest-idf words: the index is in that order already
-        F.slice(F.array_intersect(_strings(index), F.col("_held")), 1, rare).alias("_rare"),
+        F.array_intersect(_strings(sorted(index)), F.col("_held")).alias("_rare"),
     )
 
     def places(phrase: str) -> Column:
@@ -146,18 +167,8 @@ def scan(
     postings = F.create_map(
         *(
             x
-            for w in index
-            for x in (
-                F.lit(w),
-                F.array(
-                    *(
-                        F.struct(F.lit(t).alias("t"), F.lit(at).alias("at"))
-                        for t, name in enumerate(names)
-                        for at, v in enumerate(templates[name][0].split())
-                        if v == w
-                    )
-                ),
-            )
+            for w in sorted(index)
+            for x in (F.lit(w), F.array(*(F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in index[w])))
         )
     )
     rare_hits = F.filter(F.col("_hits"), lambda h: F.array_contains(F.col("_rare"), h["w"]))
@@ -177,13 +188,14 @@ def scan(
         .alias("_placed"),
     )
     # intersection by relative position: a placement that two rare words give stands twice in a row
-    agreed = F.array_distinct(F.filter(F.col("_placed"), lambda x, i: F.get(F.col("_placed"), i - 1) == x))
+    twice = lambda x, i: F.coalesce(F.get(F.col("_placed"), i - 1) == x, F.lit(False))
+    agreed = F.array_distinct(F.filter(F.col("_placed"), lambda x, i: x["t"].isin(lone) | twice(x, i) if lone else twice(x, i)))
 
     def verified(x: Column) -> Column:
         out = F.lit(False)
         for t, name in enumerate(names):
             whole, key = (s.split() for s in templates[name])
-            at = next(i for i in range(len(whole)) if whole[i : i + len(key)] == key)
+            at = _key_at(whole, key)
             out = F.when(x["t"] == t, _stands(arr, x["s"] + F.lit(at), key)).otherwise(out)
         return out
 
@@ -221,7 +233,7 @@ def scan(
         "doc_id",
         "n_words",
         F.concat(*map(of_base, base)).alias("_base"),
-        F.when(F.size("_placed") > 1, of_templates).otherwise(F.slice(of_templates, 1, 0)).alias("_found"),
+        F.when(F.size("_placed") > 0, of_templates).otherwise(F.slice(of_templates, 1, 0)).alias("_found"),
     )
     labels = F.concat(F.transform("_base", lambda m: m["label"]), F.transform("_found", lambda m: m["label"]))
     everything = F.concat(F.col("_base"), F.col("_found"))

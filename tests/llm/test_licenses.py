@@ -46,3 +46,25 @@ def test_native_plan_and_empty_table(spark):
     out = L.scan(df)
     assert out.count() == 0
     assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().executedPlan().toString())
+
+
+def test_a_file_quoting_every_licence_keeps_every_label(spark):
+    whole = [t for t, _ in L.TEMPLATES.values()]
+    texts = ["\n\n".join(whole), "\n".join(whole[::-1]) + " x " + " ".join(whole), whole[10] + " mozilla public license"]
+    texts += [" / ".join(L.TEMPLATES[k][0] for k in ("bsd", "isc", "mit-text", "mpl"))]
+    texts += ["a public license"] * 3 + ["mozilla"]  # document frequencies that rank public and license last
+    got = {r.doc_id: r for r in L.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        _, own, base = brute(text)
+        assert got[i].labels == ",".join(sorted(own | set(base)))
+    assert set(L.TEMPLATES) <= set(got[0].labels.split(","))
+    for name, (_, key) in L.TEMPLATES.items():  # every place of every key phrase
+        n = len(re.findall(rf"(?<!\w){key}(?!\w)", texts[1].replace("\n", " ")))
+        assert sum(m.label == name for m in got[1].matches) == n
+
+
+def test_key_phrases_of_one_word_or_common_words_only(spark):
+    templates = {"one": ("the quux licence", "quux"), "common": ("free for any use", "free for any use")}
+    df = spark.createDataFrame([(0, "a quux, the quux licence"), (1, "free for any use"), (2, "free any")], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, len(r.matches)) for r in L.scan(df, templates, {"x": "no such"}).collect()}
+    assert got == {0: ("one", 2), 1: ("common", 1), 2: ("", 0)}
