@@ -59,17 +59,19 @@ def fingerprint(text: bytes, size: int = SHINGLE, lower: bytes = lower_table().t
     return int(np.packbits(2 * bits > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp bigint)`` for every row; row-local, no shuffle."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp bigint)`` and the bigint columns ``keys`` for every row; row-local, no shuffle."""
 
     def run(batches):
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "").cast(pa.large_binary())
             fps = np.fromiter((fingerprint(x.as_py(), size) for x in texts), np.uint64, len(texts))
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(fps.view(np.int64))})
+            kept = {k: batch.column(k) for k in keys}
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(fps.view(np.int64)), **kept})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    schema = f"doc_id {kind}, fp bigint" + "".join(f", {k} bigint" for k in keys)
+    return docs.select("doc_id", "text", *keys).mapInArrow(run, schema)
 
 
 def covering_masks(free: int, radius: int) -> list[int]:
@@ -200,12 +202,17 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET
             return links
 
 
+def component_labels(reps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``reps`` (a row for each distinct ``fp``) with ``label``, the smallest ``fp`` reachable by links."""
+    links = fingerprint_links(reps.select("fp"), radius)
+    labels = edge_components(links.selectExpr("a AS src", "b AS dst")).withColumnRenamed("id", "fp")
+    return reps.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
 def classes(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``(fp, component_id)``: the smallest ``doc_id`` reachable by links, for every distinct ``fp``."""
     reps, _ = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprints")
-    links = fingerprint_links(reps.select("fp"), radius)
-    labels = edge_components(links.selectExpr("a AS src", "b AS dst")).withColumnRenamed("id", "fp")
-    labelled = reps.join(labels, "fp", "left").selectExpr("fp", "rep", "coalesce(label, fp) AS label")
+    labelled = component_labels(reps, radius)
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
     return labelled.join(least, "label").select("fp", "component_id")
 
@@ -220,12 +227,16 @@ def simhash_components(docs: DataFrame, size: int = SHINGLE, radius: int = RADIU
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of ``docs`` for each component: the row with its smallest ``doc_id`` (a null id
-    only where the component has no other).  Rows that share an id are one document, for which
-    the text with the smallest hash stays."""
-    texts = docs.withColumn("_hash", F.xxhash64("text"))
-    found = simhash_components(docs, size, radius)
-    keep = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = texts.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep"))).drop("_keep")
-    # ids come back from the join partitioned and sorted by id: these need no further shuffle
-    least = F.row_number().over(Window.partitionBy("doc_id").orderBy("_hash"))
-    return kept.withColumn("_rank", least).filter("_rank = 1").select(*docs.columns)
+    only where the component has no other), of several the one whose text has the smallest hash.
+    Rows are told apart by their columns, not by id: different texts without an id, or under one
+    id, each stay."""
+    keys = ("_hash", "_row")
+    texts = docs.withColumn("_hash", F.xxhash64("text")).withColumn("_row", F.xxhash64(*docs.columns))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *keys)
+    fps = fingerprints(texts, size, keys).groupBy("fp").agg(F.min(row).alias("row"))
+    reps, _ = materialize(fps, "fingerprints")
+    least = component_labels(reps, radius).groupBy("label").agg(F.min("row").alias("row"))
+    kept = texts.join(least.select("row._hash", "row._row"), list(keys))
+    # rows come back from the join partitioned and sorted by these keys; only repeats of a row share them
+    repeat = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    return kept.withColumn("_rank", repeat).filter("_rank = 1").select(*docs.columns)

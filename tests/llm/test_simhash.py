@@ -119,3 +119,15 @@ def test_keep_one_and_empty_table(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "9", "None"]
     assert S.keep_one(spark.createDataFrame([], SCHEMA)).count() == 0
     assert S.simhash_components(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_keep_one_keeps_different_texts_without_or_under_one_id(spark):
+    word = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    rows = [(None, word(k), "x", "n") for k in range(20)]  # no ids, nothing alike
+    rows += [(7, word(100 + k), "x", "s") for k in range(5)]  # one id, nothing alike
+    rows += [(50, word(200), "x", "c"), (None, word(200), "x", "c"), (40, word(200), "x", "c")]  # copies, one without id
+    rows += [(None, word(201), "x", "d"), (None, word(201), "x", "d"), (None, word(201), "y", "d")]  # repeats without id
+    kept = [tuple(r) for r in S.keep_one(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()]
+    assert sorted(map(str, (r[:2] for r in kept if r[3] in "ns"))) == sorted(map(str, (r[:2] for r in rows[:25])))
+    assert [r for r in kept if r[3] == "c"] == [(40, word(200), "x", "c")]
+    assert len([r for r in kept if r[3] == "d"]) == 1
