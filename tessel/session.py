@@ -53,15 +53,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, name: str = "table") -> tuple[DataFrame, str]:
+def materialize(df: DataFrame, name: str = "table", partition_by: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` once as Parquet into the shared folder and read it back: ``(table, path)``.
 
     Cuts lineage like ``checkpoint()``, but runs the plan once with adaptive execution and
-    leaves a columnar table.  Pass the path to ``discard`` when nothing will read it again.
+    leaves a columnar table, in a folder for each value of ``partition_by`` where that is given.
+    Pass the path to ``discard`` when nothing will read it again.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
