@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessel.llm import chat, decontaminate, fingerprints, licenses, packing, ppm, simhash, substring, tokens, toxicity
+from tessel.llm import (
+    chat, collocations, decontaminate, fingerprints, licenses, packing, ppm, quality, search, simhash, substring, tokens,
+    toxicity,
+)
 from tessel.llm.words import crc_remainder
 
 
@@ -61,6 +64,18 @@ def op10_sequence_files(spark: SparkSession, d: str) -> DataFrame:
     return tokens.read_documents(spark, files)
 
 
+def op11_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    return search.search(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(_table(spark, d, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    return quality.quality(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +89,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_chat_format,
         op10_sequence_files,
+        op11_lexical_search,
+        op12_collocations,
+        op13_quality_rules,
     )
 }
-ORACLE: dict[str, str] = {"op7_license_scan": licenses.oracle_sql()}
+ORACLE: dict[str, str] = {
+    "op7_license_scan": licenses.oracle_sql(),
+    "op11_lexical_search": search.oracle_sql(),
+    "op12_collocations": collocations.oracle_sql(),
+}
