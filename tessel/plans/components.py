@@ -11,13 +11,17 @@ after a logarithmic number of steps and neither has a cap.
 All steps are aggregates with map-side combining (``min`` only) and equi-joins, so
 a vertex with a third of all edges costs partial rows, never one neighbour list.
 Each round's tables are written to the shared checkpoint folder and deleted when
-the next round has replaced them: a lost executor recomputes one step.
+the next round has replaced them: a lost executor recomputes one step.  Once
+contraction has left at most ``SMALL`` edges (counted), one task solves the rest with
+the same rule on arrays; a graph that small needs no rounds at all.
 """
 
 from __future__ import annotations
 
 import logging
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +29,31 @@ from tessel.session import discard, materialize
 
 log = logging.getLogger(__name__)
 
+SMALL = 200_000  # edges solved in one task (3 MB)
+
+
+def solve(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every id of an edge list with the smallest id of its component."""
+    ids, place = np.unique(np.concatenate([src, dst]), return_inverse=True)
+    a, b = place[: len(src)], place[len(src) :]
+    label = np.arange(len(ids))
+    while True:
+        up = label.copy()
+        np.minimum.at(up, np.maximum(label[a], label[b]), np.minimum(label[a], label[b]))
+        while (up[up] != up).any():
+            up = up[up]
+        if (up == label).all():
+            return ids, ids[label]
+        label = up
+
+
+def _solved(batches):
+    """mapInArrow body over the one partition holding a small edge list."""
+    parts = [(b.column("src").to_numpy(), b.column("dst").to_numpy()) for b in batches]
+    if sum(len(p[0]) for p in parts):
+        ids, label = solve(*(np.concatenate(x) for x in zip(*parts)))
+        yield pa.record_batch({"id": pa.array(ids), "label": pa.array(label)})
+
 
 def _flatten(parents: DataFrame) -> tuple[DataFrame, str]:
     """Pointer jumping over ``(id, label)`` until every label is a root."""
@@ -47,10 +76,23 @@ def edge_components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     links, path = materialize(
-        edges.filter("src <> dst").selectExpr("least(src, dst) AS src", "greatest(src, dst) AS dst").distinct(), "links"
+        edges.filter("src <> dst")
+        .selectExpr("CAST(least(src, dst) AS BIGINT) AS src", "CAST(greatest(src, dst) AS BIGINT) AS dst")
+        .distinct(),
+        "links",
     )
     total, total_path = None, None
     while True:
+        if links.count() <= SMALL:
+            roots, roots_path = materialize(links.repartition(1).mapInArrow(_solved, "id long, label long"), "labels")
+            if total is None:
+                discard(spark, path)
+                return roots
+            up = roots.selectExpr("id AS label", "label AS up")
+            joined = total.join(up, "label", "left").selectExpr("id", "coalesce(up, label) AS label")
+            out, _ = materialize(joined, "labels")
+            discard(spark, path, roots_path, total_path)
+            return out
         both = links.unionByName(links.selectExpr("dst AS src", "src AS dst"))
         parents = both.groupBy("src").agg(F.min("dst").alias("m")).selectExpr("src AS id", "least(src, m) AS label")
         roots, roots_path = _flatten(parents)
@@ -74,9 +116,6 @@ def edge_components(edges: DataFrame) -> DataFrame:
             total, total_path = materialize(joined, "labels")
         discard(spark, *old)
         links = new_links
-        if links.isEmpty():
-            discard(spark, path)
-            return total
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

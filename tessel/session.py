@@ -8,6 +8,7 @@ mode do we fall back to a fresh folder under the system temp dir.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -71,3 +72,13 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the files of shuffles that nothing refers to any more.
+
+    Its cleaner works when the driver collects garbage, which a driver that holds little data
+    seldom does; a job of many steps calls this after each so that their shuffles do not pile up.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
