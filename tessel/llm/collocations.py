@@ -14,13 +14,16 @@ What a scan has to know is when a subphrase reached the threshold.  That is a ta
 ``SLOTS`` bytes for each length, the step at which the first phrase of a slot reached
 it.  Phrases that share a slot may be activated early, never late, and each is still counted
 for exactly one cycle, so the table's size, fixed whatever the data, changes the work but
-never a count.  Running counts (a phrase hash and a number) stay in a table in the shared
-folder, merged with each scan's counts by one shuffle; scans add up in the task first.
+never a count.  Scans add up in the task first.  Running counts (phrase hash, number) stay in
+packed arrays in the shared folder, one set for each range of slots; a step shuffles its
+counts and the arrays by that range, adds them up, and sends the bits of the slots that
+have reached the threshold to the driver (``SLOTS / 8`` bytes a length).
 
 Candidates then get their words back in one more scan, their best cut and the longer phrases
 that hold them by joins on phrase hashes, and an exact integer score in 128-bit decimals
 (counts up to 10^15).  The best of each language are cut down in each partition before
-they meet.  Words and phrases are told apart by 64-bit hashes.
+they meet, and only their words are spelled out.  Words and phrases are told apart by
+64-bit hashes.
 
 Defined cases: a null text has no words; a null language is ``und``; repeated rows count
 each; an empty table gives an empty result; other columns are ignored; a text of any length
@@ -36,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessel.llm.words import chunks, mix, span_hashes, text_buffer, words
-from tessel.session import discard, materialize
+from tessel.llm.words import blocks_for, chunks, mix, text_buffer, words
+from tessel.session import discard, materialize, release
 
 SHARDS = 3
 SLOTS = 1 << 22
@@ -46,7 +49,10 @@ LONGEST = 3
 TOP = 2000
 HOLDS = 50  # percent of a phrase's places that a longer one must have to replace it
 ROW_WORDS = 1024  # words of a row of the sharded table; a longer piece is one row
+SLICE_WORDS = 1 << 20  # words handled at once
 HELD = 1 << 21  # counts held by a task before they are added up
+ROW_COUNTS = 1 << 17  # counts in a row of packed arrays
+BUCKET_BYTES = 16 << 20  # bytes of text whose phrases are added up in one task
 UNDEFINED = "und"
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _NEVER = 255
@@ -76,109 +82,123 @@ def _keys(seq: np.ndarray, seed: np.uint64, longest: int):
     return out
 
 
+def _gaps() -> tuple[np.ndarray, np.ndarray]:
+    """Bytes between words, and those of them that end a piece."""
+    gaps, ends = np.zeros(256, bool), np.zeros(256, bool)
+    gaps[list(b" \t" + _BREAKS)] = True
+    ends[list(_BREAKS)] = True
+    return gaps, ends
+
+
 def sharded_words(docs: DataFrame, shards: int) -> DataFrame:
-    """``shard, lang, seq, word``: sequences of word hashes (0 between pieces) of each shard, and in
-    shard -1 the words of their hashes."""
+    """``shard, lang, words, seq``: packed sequences of word hashes, 0 before each piece, and how many words."""
 
     def run(batches):
-        gaps = np.zeros(256, bool)
-        gaps[list(b" \t" + _BREAKS)] = True
-        ends = np.zeros(256, bool)
-        ends[list(_BREAKS)] = True
+        gaps, ends = _gaps()
         turn = 0
         for batch in batches:
             for part in chunks(batch):
                 data, offsets = text_buffer(part.column("text"))
-                h, start, end, first = words(data, offsets, gaps)
-                h = np.where(h == 0, np.uint64(1), h)
+                h, start, _, first = words(data, offsets, gaps)
                 if not len(h):
                     continue
+                h = np.maximum(h, np.uint64(1))
                 doc = np.repeat(np.arange(part.num_rows), np.diff(first))
                 piece = np.cumsum(ends[data])[start] + doc  # differs where a break or another text lies between
-                known, one = np.unique(h, return_index=True)
-                low = pa.array([bytes(data[a:b]).decode("utf-8", "replace") for a, b in zip(start[one], end[one])], pa.string())
-                upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-                table = str.maketrans(upper, upper.lower())
-                yield pa.record_batch(
-                    {
-                        "shard": pa.array(np.full(len(known), -1), pa.int32()),
-                        "lang": pa.nulls(len(known), pa.string()),
-                        "seq": pa.ListArray.from_arrays(pa.array(np.arange(len(known) + 1), pa.int32()), pa.array(known.view(np.int64))),
-                        "word": pa.array([w.translate(table) for w in low.to_pylist()], pa.string()),
-                    }
-                )
                 lang = np.array([UNDEFINED if x is None else x for x in part.column("lang").to_pylist()], object)
                 names, code = np.unique(lang.astype(str), return_inverse=True)
                 for k, name in enumerate(names.tolist()):
                     mine = np.flatnonzero(code[doc] == k)
-                    new = np.append(True, piece[mine][1:] != piece[mine][:-1]) if len(mine) else np.zeros(0, bool)
-                    place = np.arange(len(mine)) + np.cumsum(new)  # a 0 before each piece
-                    seq = np.zeros(len(mine) + int(new.sum()) + 1, np.uint64)
-                    seq[place] = h[mine]
+                    if not len(mine):
+                        continue
+                    new = np.append(True, piece[mine][1:] != piece[mine][:-1])
+                    seq = np.zeros(len(mine) + int(new.sum()), np.uint64)
+                    seq[np.arange(len(mine)) + np.cumsum(new)] = h[mine]
                     begin = np.flatnonzero(seq == 0)  # rows are cut where pieces begin
                     want = np.searchsorted(begin, np.arange(0, len(seq), ROW_WORDS))
-                    cut = np.unique(np.append(begin[np.minimum(want, len(begin) - 1)], len(seq) - 1))
-                    if len(cut) < 2:
-                        continue
-                    n = len(cut) - 1
+                    cut = np.unique(np.append(begin[np.minimum(want, len(begin) - 1)], len(seq)))
+                    rows = [seq[x:y] for x, y in zip(cut, cut[1:])]
                     yield pa.record_batch(
                         {
-                            "shard": pa.array((turn + np.arange(n)) % shards, pa.int32()),
-                            "lang": pa.array([name] * n, pa.string()),
-                            "seq": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(seq.view(np.int64))),
-                            "word": pa.nulls(n, pa.string()),
+                            "shard": pa.array((turn + np.arange(len(rows))) % shards, pa.int32()),
+                            "lang": pa.array([name] * len(rows), pa.string()),
+                            "words": pa.array([int(np.count_nonzero(r)) for r in rows], pa.int64()),
+                            "seq": pa.array([r.tobytes() for r in rows], pa.binary()),
                         }
                     )
-                    turn += n
+                    turn += len(rows)
 
     rows = docs.select("text", F.col("lang").cast("string").alias("lang"))
-    return rows.mapInArrow(run, "shard int, lang string, seq array<long>, word string")
+    return rows.mapInArrow(run, "shard int, lang string, words long, seq binary")
 
 
 def _sequences(batch: pa.RecordBatch):
-    """``(language, sequence)`` of a batch of rows, those of a language together."""
+    """``(language, sequence)`` of a batch of rows, those of a language together, about ``SLICE_WORDS`` at a time."""
     lang = batch.column("lang").to_numpy(zero_copy_only=False).astype(str)
-    seq = batch.column("seq")
+    seq, end = batch.column("seq"), np.zeros(1, np.uint64)
     for name in np.unique(lang).tolist():
-        some = seq.filter(pa.array(lang == name))
-        yield name, np.append(some.flatten().to_numpy().view(np.uint64), np.uint64(0))  # every row begins with a 0
+        held, n = [], 0
+        for i in np.flatnonzero(lang == name).tolist():
+            held.append(np.frombuffer(seq[i].as_buffer(), np.uint64))
+            n += len(held[-1])
+            if n >= SLICE_WORDS:
+                yield name, np.concatenate([*held, end])
+                held, n = [], 0
+        if held:
+            yield name, np.concatenate([*held, end])  # every row begins with a 0
 
 
 def _active(keys, reached: list[np.ndarray], slots: int, step: int, shards: int):
     """Of phrases of 1, 2, ... words those that a step counts: ``(length, hashes)``."""
     if step < shards:
         yield 1, keys[0][1]
+    mask = np.uint64(slots - 1)
     for m in range(2, len(keys) + 1):
         at, key = keys[m - 1]
         before_at, before = keys[m - 2]
-        seen = reached[m - 2]
-        head = np.searchsorted(before_at, at)  # all words but the last begin at the same place
-        tail = np.searchsorted(before_at, at + 1)
-        mask = np.uint64(slots - 1)
-        begins = np.maximum(seen[(before[head] & mask).astype(np.int64)], seen[(before[tail] & mask).astype(np.int64)]).astype(np.int64) + 1
+        since = reached[m - 2][(before & mask).astype(np.int64)].astype(np.int64)
+        # all words but the last begin at the same place, all but the first one place on
+        begins = np.maximum(since[np.searchsorted(before_at, at)], since[np.searchsorted(before_at, at + 1)]) + 1
         yield m, key[(begins <= step) & (step < begins + shards)]
 
 
-def scan(table: DataFrame, shard: int, step: int, shards: int, reached: list[np.ndarray], slots: int) -> DataFrame:
-    """``len, key, n``: counts of the phrases active in a step, over one shard."""
-    longest = len(reached) + 1
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal keys added up; keys ascending."""
+    key, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[new], np.add.reduceat(n, new) if len(new) else n
+
+
+_PACKED = "bucket int, len int, keys binary, counts binary, bits binary"
 
-    def added(parts):
-        key, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        n = np.zeros(len(key), np.int64)
-        np.add.at(n, back, np.concatenate([c for _, c in parts]))
-        return key, n
+
+def _pack(bucket: int, m: int, key: np.ndarray, n: np.ndarray, bits: bytes = b"") -> list[tuple]:
+    rows = []
+    for i in range(0, max(len(key), 1), ROW_COUNTS):
+        rows.append((bucket, m, key[i : i + ROW_COUNTS].tobytes(), n[i : i + ROW_COUNTS].astype(np.int64).tobytes(), bits))
+        bits = b""
+    return rows
+
+
+def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "len", "keys", "counts", "bits"]
+    )
+
+
+def scan(table: DataFrame, shard: int, step: int, shards: int, reached: list[np.ndarray], slots: int, buckets: int) -> DataFrame:
+    """Packed counts of the phrases active in a step, over one shard."""
+    longest = len(reached) + 1
 
     def rows(m, key, n):
-        for i in range(0, len(key), 1 << 17):
-            some = slice(i, i + (1 << 17))
-            yield pa.record_batch(
-                {
-                    "len": pa.array(np.full(len(key[some]), m), pa.int32()),
-                    "key": pa.array(key[some].view(np.int64)),
-                    "n": pa.array(n[some]),
-                }
-            )
+        bucket = (key & np.uint64(slots - 1)).astype(np.int64) * buckets // slots
+        order = np.argsort(bucket, kind="stable")
+        key, n = key[order], n[order]
+        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        return [r for b in range(buckets) if cut[b] < cut[b + 1] for r in _pack(b, m, key[cut[b] : cut[b + 1]], n[cut[b] : cut[b + 1]])]
 
     def run(batches):
         held: dict[int, list] = {}
@@ -187,79 +207,120 @@ def scan(table: DataFrame, shard: int, step: int, shards: int, reached: list[np.
                 for m, key in _active(_keys(seq, _language_seed(lang), longest), reached, slots, step, shards):
                     if len(key):
                         held.setdefault(m, []).append(np.unique(key, return_counts=True))
-            for m, parts in held.items():
-                if sum(len(k) for k, _ in parts) > HELD:
-                    key, n = added(parts)
-                    held[m] = [(key, n)]
-                    if len(key) > HELD // 2:
-                        yield from rows(m, key, n)
-                        held[m] = []
+                for m, parts in held.items():
+                    if sum(len(k) for k, _ in parts) > HELD:
+                        held[m] = [_added(parts)]
+                        if len(held[m][0][0]) > HELD // 2:
+                            yield _packed_batch(rows(m, *held[m][0]))
+                            held[m] = []
         for m, parts in held.items():
             if parts:
-                yield from rows(m, *added(parts))
+                yield _packed_batch(rows(m, *_added(parts)))
+
+    return table.filter(F.col("shard") == shard).select("lang", "seq").mapInArrow(run, _PACKED)
 
-    return table.filter(F.col("shard") == shard).select("lang", "seq").mapInArrow(run, "len int, key long, n long")
+
+def _merge(slots: int, buckets: int, threshold: int):
+    """Adds up the packed counts of every (bucket, length) and marks the slots that have reached the threshold."""
+
+    def run(batches):
+        held: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            for b, m, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("bucket", "len", "keys", "counts"))):
+                held.setdefault((b, m), []).append((np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)))
+        for (b, m), parts in held.items():
+            key, n = _added(parts)
+            low, high = -(-b * slots // buckets), -(-(b + 1) * slots // buckets)
+            marks = np.zeros(high - low, bool)
+            marks[(key[n >= threshold] & np.uint64(slots - 1)).astype(np.int64) - low] = True
+            yield _packed_batch(_pack(b, m, key, n, np.packbits(marks).tobytes()))
+
+    return run
 
 
 def count_phrases(
-    table: DataFrame, longest: int = LONGEST, threshold: int = THRESHOLD, shards: int = SHARDS, slots: int = SLOTS
+    table: DataFrame, longest: int, threshold: int, shards: int, slots: int, buckets: int
 ) -> DataFrame:
     """``len, key, n``: every phrase of up to ``longest`` words found ``threshold`` times, and how often."""
     if slots & (slots - 1) or shards >= _NEVER // (longest + 1):
         raise ValueError("slots must be a power of two and shards a small number")
-    spark = table.sparkSession
+    spark, buckets = table.sparkSession, min(buckets, slots)
     reached = [np.full(slots, _NEVER, np.uint8) for _ in range(longest - 1)]
-    running, done, step, old = None, [], 0, None
-    live = {1}
-    while live:
-        counts = scan(table, step % shards, step, shards, reached, slots)
+    running, ended, parts, step, old = None, set(), [], 0, None
+
+    def unpack(batches):
+        for batch in batches:
+            for m, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("len", "keys", "counts"))):
+                key, n = np.frombuffer(keys, np.int64), np.frombuffer(counts, np.int64)
+                some = n >= threshold
+                yield pa.record_batch(
+                    {"len": pa.array(np.full(int(some.sum()), m), pa.int32()), "key": pa.array(key[some]), "n": pa.array(n[some])}
+                )
+
+    while len(ended) < longest:
+        counts = scan(table, step % shards, step, shards, reached, slots, buckets)
         if running is not None:
             counts = counts.unionByName(running)
-        running, path = materialize(counts.groupBy("len", "key").agg(F.sum("n").alias("n")), "counts")
-        keep_path = False
-        # slots of the phrases that have reached the threshold by now
-        found = running.filter((F.col("n") >= threshold) & (F.col("len") < longest))
-        slot = F.col("key").bitwiseAND(F.lit(slots - 1))
-        word, bit = F.shiftright(slot, 6), F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")
-        bits = found.select("len", "key", slot.alias("slot"), word.alias("word")).select("len", "word", bit.alias("bit"))
-        for r in bits.groupBy("len", "word").agg(F.bit_or("bit").alias("bits")).collect():  # at most slots / 64 a length
-            some = np.flatnonzero(np.unpackbits(np.array([r["bits"]], "<i8").view(np.uint8), bitorder="little"))
-            at = 64 * r["word"] + some
+        added = counts.repartitionById(buckets, F.col("bucket")).mapInArrow(_merge(slots, buckets, threshold), _PACKED)
+        running, path = materialize(added, "counts")
+        found = running.filter((F.col("len") < longest) & (F.octet_length("bits") > 0)).select("bucket", "len", "bits")
+        for r in found.collect():  # a bit for each slot of each length
+            low, high = (-(-b * slots // buckets) for b in (r["bucket"], r["bucket"] + 1))
+            at = low + np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=high - low))
             seen = reached[r["len"] - 1]
             seen[at[seen[at] == _NEVER]] = step
         step += 1
-        after = {1} if step < shards else set()
+        live = {1} if step < shards else set()
         for m in range(2, longest + 1):
-            steps = np.unique(reached[m - 2])
-            if ((steps != _NEVER) & (steps + 1 <= step) & (step < steps.astype(np.int64) + 1 + shards)).any():
-                after.add(m)
-        # a length is done when no shorter one can activate more of it
-        ended = {m for m in range(1, longest + 1) if not after & set(range(1, m + 1))} - {d for d, _ in done}
-        for m in sorted(ended):
-            done.append((m, running.filter((F.col("len") == m) & (F.col("n") >= threshold))))
-            keep_path = True
-        if old and not old[1]:
-            discard(spark, old[0])
-        old = (path, keep_path)
-        running = running.filter(~F.col("len").isin([d for d, _ in done])) if done else running
-        live = after
-    out = done[0][1]
-    for _, some in done[1:]:
+            steps = np.unique(reached[m - 2]).astype(np.int64)
+            if ((steps != _NEVER) & (steps + 1 <= step) & (step < steps + 1 + shards)).any():
+                live.add(m)
+        # a length has ended when no shorter one can activate more of it
+        now = {m for m in range(1, longest + 1) if not live & set(range(1, m + 1))} - ended
+        if now:
+            done = running.filter(F.col("len").isin(list(now))).select("len", "keys", "counts")
+            parts.append(materialize(done.mapInArrow(unpack, "len int, key long, n long"), "counted")[0])
+            ended |= now
+            running = running.filter(~F.col("len").isin(list(ended)))
+        if old:
+            discard(spark, old)
+        old = path
+        release(spark)
+    discard(spark, old)
+    out = parts[0]
+    for some in parts[1:]:
         out = out.unionByName(some)
     return out
 
 
+def _slots_of(hashes: DataFrame, slots: int) -> np.ndarray:
+    """Which slots the ``key`` column takes: one word of bits for 64 slots comes back, so at most ``slots / 64`` rows."""
+    marks = np.zeros(max(slots, 64), bool)
+    bits = hashes.select(F.col("key").bitwiseAND(F.lit(slots - 1)).alias("slot"))
+    bits = bits.select(F.shiftright("slot", 6).alias("word"), F.expr("shiftleft(1L, CAST(slot & 63 AS INT))").alias("bit"))
+    for r in bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
+        marks[64 * r["word"] : 64 * r["word"] + 64] = np.unpackbits(np.array([r["bits"]], "<i8").view(np.uint8), bitorder="little")
+    return marks
+
+
+def _spans(m: int) -> list[tuple[int, int]]:
+    """``(from, to)`` of the contiguous parts of ``m`` words."""
+    return [(a, b) for a in range(m) for b in range(a + 1, m + 1) if b - a < m]
+
+
+def _untold(told: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the distinct ``one`` a task has not told yet, and what it has told then (some, if it is too much)."""
+    new = ~np.isin(one, told)
+    return new, np.union1d(told, one[new]) if len(told) < HELD else told
+
+
 def phrase_words(table: DataFrame, counted: DataFrame, longest: int, slots: int) -> DataFrame:
     """``key, len, lang, hashes, parts``: the words of every phrase of two or more that was counted, and
-    its contiguous parts ``(from, to, key)``."""
-    marks = np.zeros(slots, bool)
-    slot = F.col("key").bitwiseAND(F.lit(slots - 1))
-    chunk = counted.filter("len > 1").select(slot.alias("slot")).select(F.shiftright("slot", 6).alias("word"), F.expr("shiftleft(1L, CAST(slot & 63 AS INT))").alias("bit"))
-    for r in chunk.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():  # at most slots / 64
-        marks[64 * r["word"] : 64 * r["word"] + 64] = np.unpackbits(np.array([r["bits"]], "<i8").view(np.uint8), bitorder="little").astype(bool)
+    the hashes of its contiguous parts in the order of ``_spans``."""
+    marks = _slots_of(counted.filter("len > 1"), slots)
 
     def run(batches):
-        told: set[int] = set()
+        told = [np.zeros(0, np.uint64)] * (longest + 1)
         for batch in batches:
             for lang, seq in _sequences(batch):
                 keys = _keys(seq, _language_seed(lang), longest)
@@ -267,30 +328,50 @@ def phrase_words(table: DataFrame, counted: DataFrame, longest: int, slots: int)
                     at, key = keys[m - 1]
                     some = np.flatnonzero(marks[(key & np.uint64(slots - 1)).astype(np.int64)])
                     one, first = np.unique(key[some], return_index=True)
-                    new = np.array([k not in told for k in one.tolist()], bool)
-                    if len(told) < HELD:
-                        told.update(one.tolist())
+                    new, told[m] = _untold(told[m], one)
                     if not new.any():
                         continue
                     at, key = at[some[first[new]]], one[new]
                     hashes = seq[at[:, None] + np.arange(m)]
-                    parts = {"key": pa.array(key.view(np.int64)), "len": pa.array(np.full(len(key), m), pa.int32()), "lang": pa.array([lang] * len(key))}
-                    parts["hashes"] = pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(key) + 1) * m, pa.int32()), pa.array(hashes.ravel().view(np.int64))
+                    inner = [keys[b - a - 1][1][np.searchsorted(keys[b - a - 1][0], at + a)] for a, b in _spans(m)]
+                    lists = lambda x: pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().view(np.int64))
                     )
-                    spans = [(a, b) for a in range(m) for b in range(a + 1, m + 1) if b - a < m]
-                    inner = [keys[b - a - 1][1][np.searchsorted(keys[b - a - 1][0], at + a)] for a, b in spans]
-                    parts["parts"] = pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(key) + 1) * len(spans), pa.int32()), pa.array(np.stack(inner, 1).ravel().view(np.int64))
+                    yield pa.record_batch(
+                        {
+                            "key": pa.array(key.view(np.int64)),
+                            "len": pa.array(np.full(len(key), m), pa.int32()),
+                            "lang": pa.array([lang] * len(key)),
+                            "hashes": lists(hashes),
+                            "parts": lists(np.stack(inner, 1)),
+                        }
                     )
-                    yield pa.record_batch(parts)
 
-    rows = table.filter("shard >= 0").select("lang", "seq")
+    rows = table.select("lang", "seq")
     return rows.mapInArrow(run, "key long, len int, lang string, hashes array<long>, parts array<long>").dropDuplicates(["key"])
 
 
-def _spans(m: int) -> list[tuple[int, int]]:
-    return [(a, b) for a in range(m) for b in range(a + 1, m + 1) if b - a < m]
+def spelled(docs: DataFrame, hashes: DataFrame, slots: int) -> DataFrame:
+    """``key, word``: the words (A-Z lower-cased) with the hashes ``key``, and perhaps others."""
+    marks = _slots_of(hashes, slots)
+
+    def run(batches):
+        gaps, _ = _gaps()
+        upper, told = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", np.zeros(0, np.uint64)
+        table = str.maketrans(upper, upper.lower())
+        for batch in batches:
+            for part in chunks(batch):
+                data, offsets = text_buffer(part.column("text"))
+                h, start, end, _ = words(data, offsets, gaps)
+                h = np.maximum(h, np.uint64(1))
+                some = np.flatnonzero(marks[(h & np.uint64(slots - 1)).astype(np.int64)])
+                one, first = np.unique(h[some], return_index=True)
+                new, told = _untold(told, one)
+                at = some[first[new]]
+                found = [bytes(data[a:b]).decode().translate(table) for a, b in zip(start[at], end[at])]
+                yield pa.record_batch({"key": pa.array(one[new].view(np.int64)), "word": pa.array(found, pa.string())})
+
+    return docs.select("text").mapInArrow(run, "key long, word string").groupBy("key").agg(F.min("word").alias("word"))
 
 
 def _scored(candidates: DataFrame, counted: DataFrame, longest: int) -> DataFrame:
@@ -326,10 +407,10 @@ def collocations(
     shards: int = SHARDS, slots: int = SLOTS,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's ``top`` phrases of 2 to ``longest`` words."""
-    spark = docs.sparkSession
+    buckets = blocks_for(docs, "text", BUCKET_BYTES)
     # one folder for each shard, so a scan reads no other
     table, _ = materialize(sharded_words(docs, shards), "words", partition_by="shard")
-    counted, _ = materialize(count_phrases(table, longest, threshold, shards, slots), "counted")
+    counted = count_phrases(table, longest, threshold, shards, slots, buckets)
     named = phrase_words(table, counted, longest, slots)
     phrases, _ = materialize(named.join(counted.select("key", F.col("n").alias("a")), "key"), "phrases")
     # a phrase goes where a longer one that holds it has enough of its places
@@ -342,14 +423,13 @@ def collocations(
     # ties at the end of the list are told apart by their words, so all of them stay until these are known
     best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())
     first, _ = materialize(scored.withColumn("_r", F.rank().over(best)).filter(F.col("_r") <= top).drop("_r"), "best")
-    names = table.filter("shard = -1").select(F.col("seq")[0].alias("hash"), "word").groupBy("hash").agg(F.min("word").alias("word"))
-    spelled = first.select("key", F.posexplode("hashes").alias("place", "hash")).join(names, "hash")
-    spelled = spelled.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("w"))
-    spelled = spelled.select("key", F.array_join(F.col("w.word"), " ").alias("phrase"))
-    sizes = table.filter("shard >= 0").select("lang", F.size(F.array_remove("seq", 0)).cast("long").alias("k"))
-    sizes = sizes.groupBy("lang").agg(F.sum("k").alias("n"))
+    asked = first.select(F.col("key").alias("phrase_key"), F.posexplode("hashes").alias("place", "key"))
+    texts = asked.join(spelled(docs, asked.select("key"), slots), "key").groupBy("phrase_key")
+    texts = texts.agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("w"))
+    texts = texts.select(F.col("phrase_key").alias("key"), F.array_join(F.col("w.word"), " ").alias("phrase"))
+    sizes = table.groupBy("lang").agg(F.sum("words").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    out = first.join(spelled, "key").join(F.broadcast(sizes) if sizes.limit(100_001).count() <= 100_000 else sizes, "lang")
+    out = first.join(texts, "key").join(sizes, "lang")
     return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
