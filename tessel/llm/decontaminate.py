@@ -16,8 +16,9 @@ passage.  A passage is a query:
   answer (the last sentence; the last third of a one-sentence item) in the passage.
 
 Scoring is numpy over whole batches of passages in one row-local pass over the
-texts.  The index travels to the tasks in groups of at most ``INDEX_WORDS`` item
-words, a pass over the texts for each group, so its size is bounded.
+texts.  The index travels to the tasks in groups of about ``INDEX_WORDS`` item words, a
+pass over the texts for each group, so its size is bounded; document frequencies, lengths
+and passage borders are of the whole benchmark, so the groups do not change a result.
 
 Defined cases: a null or empty text matches nothing; an item without words is never
 found; items of fewer than five words count as one shingle; repeated rows are
@@ -27,6 +28,7 @@ matched each; copies of an item are items of their own.
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessel.llm.words import alnum_separator_table, chunks, shingles, text_buffer, words
+from tessel.session import discard, materialize
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5  # of the item's score against itself
@@ -69,15 +72,26 @@ def _grams(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return np.unique(shingles(h, np.array([0, len(h)]), min(size, len(h)))[0])
 
 
+class Statistics(NamedTuple):
+    """Of the whole benchmark: items with words, their words, the longest one's words, and the items
+    that hold each of some terms (hashes ascending)."""
+
+    items: int
+    words: int
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 class Index:
-    """Inverted index of test items."""
+    """Inverted index of test items; ``statistics`` are those of all items, not only of these."""
 
-    def __init__(self, item_ids: list, texts: list[str]):
+    def __init__(self, item_ids: list, texts: list[str], statistics: Statistics):
         h, first = _hash_words(texts)
         keep = np.flatnonzero(np.diff(first) > 0)
         self.item_ids = [item_ids[i] for i in keep]
         self.n = len(keep)
-        self.longest = int(np.diff(first).max(initial=0))
+        self.longest = statistics.longest
         self.parts = []
         for i in keep:
             sides = [_hash_words([s])[0] for s in question_and_answer(texts[i])]
@@ -88,9 +102,9 @@ class Index:
         self.terms, term = np.unique(term_hash, return_inverse=True)
         code, tf = np.unique(term * max(self.n, 1) + item, return_counts=True)  # postings by term, then item
         term, item = code // max(self.n, 1), code % max(self.n, 1)
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * length / max(length.mean() if self.n else 1, 1e-9))
+        df = statistics.df[np.searchsorted(statistics.terms, self.terms)]
+        idf = np.log(1 + (statistics.items - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * length / max(statistics.words / max(statistics.items, 1), 1e-9))
         impact = idf[term] * tf * (K1 + 1) / (tf + norm[item]) if len(code) else np.zeros(0)
         impact = impact / np.bincount(item, impact, minlength=self.n)[item] if len(code) else impact
         self.code, self.item, self.impact = code, item, impact
@@ -200,15 +214,47 @@ def match_batch(index: Index, data: np.ndarray, offsets: np.ndarray, threshold:
     return [best[k] for k in sorted(best)]
 
 
+def _item_terms(benchmark: DataFrame) -> DataFrame:
+    """``item, n, terms``: a hash of each item, its number of words and their distinct hashes."""
+
+    def run(batches):
+        for batch in batches:
+            h, _, _, first = words(*text_buffer(batch.column("text")), alnum_separator_table())
+            n = np.diff(first)
+            code = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((h, code))
+            h, code = h[order], code[order]
+            new = np.append(True, (h[1:] != h[:-1]) | (code[1:] != code[:-1])) if len(h) else np.zeros(0, bool)
+            to = np.searchsorted(code[new], np.arange(len(n) + 1))
+            terms = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(h[new].view(np.int64)))
+            yield pa.record_batch({"item": batch.column("item"), "n": pa.array(n, pa.int64()), "terms": terms})
+
+    rows = benchmark.select(F.xxhash64("item_id", "text").alias("item"), "text")
+    return rows.mapInArrow(run, "item long, n long, terms array<long>")
+
+
 def item_groups(benchmark: DataFrame, index_words: int = INDEX_WORDS):
-    """The items in groups of about ``index_words`` words, each group collected in turn."""
+    """The items in groups of about ``index_words`` words, each group collected in turn.  All groups
+    share the statistics of the whole benchmark, so results do not depend on the groups."""
     rows = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = 1 + total // (6 * index_words)
-    group = F.pmod(F.xxhash64("item_id", "text"), F.lit(groups))
+    terms, path = materialize(_item_terms(rows), "items")
+    sizes = terms.agg(
+        F.sum((F.col("n") > 0).cast("long")).alias("items"), F.sum("n").alias("words"), F.max("n").alias("longest")
+    ).first()
+    of_terms = terms.select("item", F.explode("terms").alias("term"))
+    df, df_path = materialize(of_terms.groupBy("term").agg(F.count("*").alias("df")), "item_terms")
+    groups = 1 + (sizes["words"] or 0) // index_words
+    group = lambda item: F.pmod(item, F.lit(groups))
     for g in range(groups):
-        found = rows.filter(group == g).orderBy("item_id", "text").collect()  # bounded by index_words
-        yield Index([r["item_id"] for r in found], [r["text"] for r in found])
+        mine = of_terms.filter(group(F.col("item")) == g).select("term").distinct()
+        held = df.join(mine, "term", "left_semi").collect()  # bounded by index_words, as the items are
+        held = np.array(sorted((r["term"] % (1 << 64), r["df"]) for r in held), dtype=np.uint64).reshape(-1, 2)
+        known = Statistics(
+            sizes["items"] or 0, sizes["words"] or 0, sizes["longest"] or 0, held[:, 0], held[:, 1].astype(np.int64)
+        )
+        found = rows.filter(group(F.xxhash64("item_id", "text")) == g).orderBy("item_id", "text").collect()
+        yield Index([r["item_id"] for r in found], [r["text"] for r in found], known)
+    discard(rows.sparkSession, path, df_path)
 
 
 def matches(

@@ -1,14 +1,15 @@
 """Licence scan with a positional rare-token index, in DataFrame functions only.
 
-Templates are word sequences with one mandatory key phrase each.  The words of
-each key phrase are ranked by inverse document frequency over all documents, and
-the index maps the ``RARE`` highest of every template to their postings
-``(template, position)``.  A file's postings are turned into placements (file
-position minus template position), placements on which two rare words agree survive
-the intersection, and the template counts only where its key phrase stands word for
-word: everywhere it does, since there all of its words agree, however many other
-licences the file quotes.  The score is the idf-weighted share of the template's
-words found at their places.
+Templates are the licences' own notices with one mandatory key phrase each.  The words of
+each key phrase are ranked by inverse document frequency measured over all documents, and
+the index maps the ``RARE`` highest of every template, and no others, to their postings
+``(template, position)``.  The index words that a file holds are looked up; their postings
+are turned into placements (file position minus template position), placements on which a
+template's rare words agree survive the intersection, and the template counts only where
+its key phrase stands word for word: everywhere it does, since its rarest words are
+mandatory words, however many other licences the file quotes.  The score is the
+idf-weighted share of the template's words found at their places, so a passing mention
+scores below a whole notice; a base phrase is its own template and scores 1.
 
 All of it happens inside the row: the text is split once, and only files that hold
 a licence word evaluate the rest.  One aggregate over all documents (a row for
@@ -33,36 +34,53 @@ BASE = {
     "gpl": "general public license",
 }
 
-#: label -> (template words, mandatory key phrase inside them); wording of the licences themselves
+_FREE = "free software you can redistribute it and or modify it under the terms of the gnu"
+_FSF = "as published by the free software foundation"
+
+#: label -> (template words, mandatory key phrase inside them); fixed values: wording of the licences' notices
 TEMPLATES = {
-    "agpl": ("gnu affero general public license", "affero general public license"),
-    "apache-2.0": ("licensed under the apache license version 2 0", "apache license version 2"),
+    "agpl": (f"this program is {_FREE} affero general public license {_FSF}", "affero general public license"),
+    "apache-2.0": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+        "with the license you may obtain a copy of the license at",
+        "apache license version 2",
+    ),
     "bsd": (
-        "redistribution and use in source and binary forms with or without modification are permitted",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that "
+        "the following conditions are met redistributions of source code must retain the above copyright notice this "
+        "list of conditions and the following disclaimer",
         "redistribution and use in source and binary forms",
     ),
-    "cc-by-4.0": ("licensed under cc by 4 0", "cc by 4 0"),
-    "cc-by-nc-4.0": ("licensed under cc by nc 4 0", "cc by nc 4 0"),
-    "cc-by-sa-4.0": ("licensed under cc by sa 4 0", "cc by sa 4 0"),
-    "gpl-2.0": ("under the gnu general public license version 2", "general public license version 2"),
-    "gpl-3.0": ("under the gnu general public license version 3", "general public license version 3"),
+    "cc-by-4.0": ("this work is licensed under cc by 4 0", "cc by 4 0"),
+    "cc-by-nc-4.0": ("this work is licensed under cc by nc 4 0", "cc by nc 4 0"),
+    "cc-by-sa-4.0": ("this work is licensed under cc by sa 4 0", "cc by sa 4 0"),
+    "gpl-2.0": (f"this program is {_FREE} general public license version 2 {_FSF}", "general public license version 2"),
+    "gpl-3.0": (f"this program is {_FREE} general public license version 3 {_FSF}", "general public license version 3"),
     "isc": (
-        "permission to use copy modify and or distribute this software for any purpose with or without fee",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
         "permission to use copy modify and or distribute",
     ),
-    "lgpl": ("gnu lesser general public license", "lesser general public license"),
+    "lgpl": (f"this library is {_FREE} lesser general public license {_FSF}", "lesser general public license"),
     "mit-text": (
-        "permission is hereby granted free of charge to any person obtaining a copy of this software",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation the "
+        "rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
         "permission is hereby granted free of charge",
     ),
-    "mpl": ("subject to the terms of the mozilla public license", "mozilla public license"),
+    "mpl": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+        "distributed with this file you can obtain one at",
+        "mozilla public license",
+    ),
     "unlicense": (
-        "this is free and unencumbered software released into the public domain",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish "
+        "use compile sell or distribute this software",
         "unencumbered software released into the public domain",
     ),
 }
 
-RARE = 8  # highest-idf words of a key phrase whose postings are looked up
+RARE = 2  # highest-idf words of a key phrase whose postings are looked up
 #: words too common in any prose to tell a licence: never index terms
 COMMON = frozenset("a and any are by for free in is of or out this the to under use with without".split())
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -145,7 +163,7 @@ def scan(
         "doc_id",
         "_arr",
         (F.get(arr, F.lit(0)) == "").cast("int").alias("_lead"),
-        F.array_intersect(arr, _strings(vocabulary)).alias("_held"),
+        F.array_intersect(arr, _strings(sorted({*index, *(p.split()[0] for p in base.values())}))).alias("_held"),
         F.greatest(F.size(arr) - (F.get(arr, F.lit(0)) == "").cast("int") - ends, F.lit(0)).cast("long").alias("n_words"),
     )
     located = F.filter(
@@ -199,20 +217,18 @@ def scan(
             out = F.when(x["t"] == t, _stands(arr, x["s"] + F.lit(at), key)).otherwise(out)
         return out
 
+    wholes = F.array(*(_strings(templates[n][0].split()) for n in names))
+    weights = [[idf[w] if w not in COMMON else 0.1 for w in templates[n][0].split()] for n in names]
+    gains = F.array(*(F.array(*map(F.lit, w)) for w in weights))
+    totals = F.array(*(F.lit(float(sum(w))) for w in weights))
+
     def share(x: Column) -> Column:
-        out = F.lit(0.0)
-        for t, name in enumerate(names):
-            whole = templates[name][0].split()
-            weight = [idf.get(w, 1.0) if w not in COMMON else 0.1 for w in whole]
-            got = sum(
-                (
-                    F.when(F.get(arr, x["s"] + F.lit(i)) == w, F.lit(g)).otherwise(F.lit(0.0))
-                    for i, (w, g) in enumerate(zip(whole, weight))
-                ),
-                F.lit(0.0),
-            )
-            out = F.when(x["t"] == t, F.least(got / F.lit(sum(weight)), F.lit(1.0))).otherwise(out)
-        return out
+        got = F.aggregate(
+            F.transform(F.get(wholes, x["t"]), lambda w, i: F.when(F.get(arr, x["s"] + i) == w, F.get(F.get(gains, x["t"]), i))),
+            F.lit(0.0),
+            lambda total, g: total + F.coalesce(g, F.lit(0.0)),
+        )
+        return F.least(got / F.get(totals, x["t"]), F.lit(1.0))
 
     def match(label: Column, start: Column, size: Column, score: Column) -> Column:
         return F.struct(
@@ -252,10 +268,10 @@ def scan(
 
 
 def oracle_sql() -> str:
-    """The scan of ``documents`` as DuckDB SQL (every place by plain list search)."""
-    vocabulary = _vocabulary(TEMPLATES, BASE)
-    index = sorted({w for t, _ in TEMPLATES.values() for w in t.split()} - COMMON)
+    """The scan of ``documents`` as DuckDB SQL: every phrase by plain search at every word, no index."""
+    weighted = sorted({w for t, _ in TEMPLATES.values() for w in t.split()} - COMMON)
     words = lambda s: "[" + ", ".join(f"'{w}'" for w in s.split()) + "]"
+    idf = {w: f"v[{weighted.index(w) + 1}]" for w in weighted}
 
     def places(phrase: str) -> str:
         n = len(phrase.split())
@@ -264,22 +280,14 @@ def oracle_sql() -> str:
             f"lambda i: a[i + 1] = '{phrase.split()[0]}' AND a[i + 1 : i + {n}] = {words(phrase)}) ELSE [] END"
         )
 
-    def hit(j: int, w: str) -> str:
-        return f"s + {j} >= 0 AND a[s + {j + 1}] = '{w}'"
-
-    idf = {w: f"v[{vocabulary.index(w) + 1}]" for w in vocabulary}
     found, shares = [], []
     for k, (name, (whole, key)) in enumerate(sorted(TEMPLATES.items())):
-        w, n = whole.split(), len(key.split())
-        at = next(i for i in range(len(w)) if w[i : i + n] == key.split())
-        agree = " + ".join(
-            f"(CASE WHEN list_contains(rare, '{x}') AND {hit(j, x)} THEN 1 ELSE 0 END)" for j, x in enumerate(w) if x in index
-        )
+        w, at = whole.split(), whole.split(key)[0].count(" ")
         weight = [idf[x] if x not in COMMON else "0.1::DOUBLE" for x in w]
-        got = " + ".join(f"(CASE WHEN {hit(j, x)} THEN {g} ELSE 0 END)" for j, (x, g) in enumerate(zip(w, weight)))
-        found.append(
-            f"list_filter(list_transform({places(key)}, lambda i: i - {at}), lambda s: ({agree}) >= 2) AS t{k}"
+        got = " + ".join(
+            f"(CASE WHEN s + {j} >= 0 AND a[s + {j + 1}] = '{x}' THEN {g} ELSE 0 END)" for j, (x, g) in enumerate(zip(w, weight))
         )
+        found.append(f"list_transform({places(key)}, lambda i: i - {at}) AS t{k}")
         shares.append(f"list_max(list_transform(t{k}, lambda s: least(({got}) / ({' + '.join(weight)}), 1.0)))")
     base = [f"{places(p)} AS b{k}" for k, p in enumerate(BASE.values())]
     all_base = "list_concat(" * (len(BASE) - 1) + "b0" + "".join(f", b{k})" for k in range(1, len(BASE)))
@@ -291,13 +299,9 @@ def oracle_sql() -> str:
         f"WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), "
         r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM documents), "
         "d AS (SELECT count(*) AS n, ["
-        + ", ".join(f"count(*) FILTER (WHERE list_contains(a, '{x}'))" for x in vocabulary)
+        + ", ".join(f"count(*) FILTER (WHERE list_contains(a, '{x}'))" for x in weighted)
         + "] AS df FROM w), f AS (SELECT list_transform(df, lambda x: ln((n + 1) / (x + 1)) + 1) AS v FROM d), "
-        "r AS (SELECT v, list_transform(list_sort(["
-        + ", ".join(f"{{'k': -{idf[x]}, 'w': '{x}'}}" for x in index)
-        + "]), lambda x: x.w) AS ranked FROM f), "
-        f"h AS (SELECT *, list_filter(ranked, lambda x: list_contains(a, x))[1:{RARE}] AS rare FROM w, r), "
-        f"p AS (SELECT *, {', '.join(base + found)} FROM h) "
+        f"p AS (SELECT *, {', '.join(base + found)} FROM w, f) "
         f"SELECT doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(len({all_base}) AS BIGINT) AS n_base, "
         f"CAST(list_min({all_base}) AS BIGINT) AS first_word, CAST(list_max({all_base}) AS BIGINT) AS last_word, "
         f"{joined(base_label)} AS base_labels, {joined(base_label + own_label)} AS labels, "

@@ -26,9 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessel.llm.tokens import encoded
 from tessel.llm.words import crc
+from tessel.plans.indexing import row_index, unused
 from tessel.session import materialize
 
 CAPACITY = 2048
@@ -100,44 +102,20 @@ def best_fit(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(runs, np.int64).reshape(-1, 5)
 
 
-def _ranked(batches):
-    """Number the rows of a sorted partition."""
-    from pyspark import TaskContext
-
-    part, n = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        at = np.arange(n, n + batch.num_rows)
-        n += batch.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(np.full(len(at), part), pa.int32()), pa.array(at, pa.int64())],
-            names=[*batch.schema.names, "_part", "_at"],
-        )
-
-
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (with ``doc_id, piece, start, length``) plus ``sequence_id`` and ``offset``."""
-    spark = pieces.sparkSession
+    """``pieces`` (with ``doc_id, piece, start, length``) plus ``sequence_id`` and ``offset``; other
+    columns keep their values, columns called like these two are replaced."""
     # sorting by range reads its input twice: texts are encoded once, into small rows
-    pieces, _ = materialize(pieces, "pieces")
-    names = pieces.columns
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col("length").desc(), "doc_id", "piece", "start"]
-    ordered = pieces.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    # the ranks are written down: a lost executor must not renumber them
-    ranked, _ = materialize(ordered.mapInArrow(_ranked, f"{kinds}, _part int, _at long"), "pieces")
+    pieces, _ = materialize(pieces.drop("sequence_id", "offset"), "pieces")
+    names, name = pieces.columns, unused(pieces, "rank")
+    ranked = row_index(pieces, [-F.col("length"), "doc_id", "piece", "start"], name)
     counts = {r["length"]: r["n"] for r in ranked.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs = best_fit(counts, capacity)  # at most `capacity` lengths were collected
-    sizes = {r["_part"]: r["n"] for r in ranked.groupBy("_part").agg(F.count("*").alias("n")).collect()}
-    offsets = np.zeros(max(sizes, default=0) + 1, np.int64)
-    for k, v in sizes.items():
-        offsets[k] = v
-    offsets = np.cumsum(offsets) - offsets
     begin = np.cumsum(runs[:, 2]) - runs[:, 2]  # rank over all lengths at which a run begins
 
     def place(batches):
         for batch in batches:
-            rank = offsets[batch.column("_part").to_numpy()] + batch.column("_at").to_numpy()
+            rank = batch.column(name).to_numpy()
             run = np.searchsorted(begin, rank, side="right") - 1
             sequence = runs[run, 3] + rank - begin[run]
             yield pa.RecordBatch.from_arrays(
@@ -145,7 +123,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 names=[*names, "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
+    kinds = T.StructType(list(pieces.schema.fields)).add("sequence_id", "long").add("offset", "long")
+    return ranked.mapInArrow(place, kinds)
 
 
 def packed_documents(

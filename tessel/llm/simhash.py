@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tessel.llm.words import lower_table
 from tessel.plans.components import edge_components
+from tessel.plans.indexing import unused
 from tessel.session import materialize
 
 SHINGLE = 3
@@ -229,14 +230,16 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> Data
     """One row of ``docs`` for each component: the row with its smallest ``doc_id`` (a null id
     only where the component has no other), of several the one whose text has the smallest hash.
     Rows are told apart by their columns, not by id: different texts without an id, or under one
-    id, each stay."""
-    keys = ("_hash", "_row")
-    texts = docs.withColumn("_hash", F.xxhash64("text")).withColumn("_row", F.xxhash64(*docs.columns))
+    id, each stay.  All columns keep their values, whatever their names."""
+    keys = unused(docs, "hash"), unused(docs, "row_hash")
+    rank = unused(docs, "rank")
+    hashes = F.xxhash64("text").alias(keys[0]), F.xxhash64(*docs.columns).alias(keys[1])
+    texts = docs.select("*", *hashes)
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *keys)
     fps = fingerprints(texts, size, keys).groupBy("fp").agg(F.min(row).alias("row"))
     reps, _ = materialize(fps, "fingerprints")
     least = component_labels(reps, radius).groupBy("label").agg(F.min("row").alias("row"))
-    kept = texts.join(least.select("row._hash", "row._row"), list(keys))
+    kept = texts.join(least.select(*(F.col("row")[k].alias(k) for k in keys)), list(keys))
     # rows come back from the join partitioned and sorted by these keys; only repeats of a row share them
     repeat = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
-    return kept.withColumn("_rank", repeat).filter("_rank = 1").select(*docs.columns)
+    return kept.withColumn(rank, repeat).filter(F.col(rank) == 1).select(*docs.columns)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessel.plans.indexing import unused
 from tessel.llm.words import alnum_separator_table, chunks, crc_remainder, mix, text_buffer, words
 
 FIT_DOCUMENTS = 5000  # documented bound on the labelled documents the classifier is fitted on
@@ -182,15 +183,18 @@ def fit(docs: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCUMENTS)
     return weights, bias
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], spans: bool = True) -> DataFrame:
-    """All columns of ``docs`` plus ``_score double`` and, with ``spans``, ``_sentences``
-    (byte start, byte end, probability of every sentence at or over ``SPAN_THRESHOLD``)."""
+def score(
+    docs: DataFrame, model: tuple[np.ndarray, float], spans: bool = True, names: tuple[str, str] = ("_score", "_sentences")
+) -> DataFrame:
+    """All columns of ``docs`` plus a score (double) and, with ``spans``, the byte start, byte end
+    and probability of every sentence at or over ``SPAN_THRESHOLD``, called ``names``; columns of
+    ``docs`` with these names are replaced."""
+    docs = docs.drop(*names[: 1 + spans])
     weights, bias = model
     weights = weights.astype(np.float32)
 
     def run(batches):
         empty = float(_sigmoid(np.array([bias]))[0])
-        names = out_names
         for batch in batches:
             for part in chunks(batch):
                 data, offsets = text_buffer(part.column("text"))
@@ -209,16 +213,23 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], spans: bool = True)
                     )
                     lists = pa.array(np.searchsorted(doc[bad], np.arange(part.num_rows + 1)), pa.int32())
                     columns.append(pa.ListArray.from_arrays(lists, items))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield pa.RecordBatch.from_arrays(columns, names=out_names)
 
-    out = T.StructType(list(docs.schema.fields)).add("_score", "double")
+    out = T.StructType(list(docs.schema.fields)).add(names[0], "double")
     if spans:
         span = T.StructType().add("start", "long").add("end", "long").add("p", "double")
-        out = out.add("_sentences", T.ArrayType(span))
+        out = out.add(names[1], T.ArrayType(span))
     out_names = out.names
     return docs.mapInArrow(run, out)
 
 
+def clean(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``; all columns keep their values, whatever their names."""
+    name = unused(docs, "score")
+    scored = score(docs, model, spans=False, names=(name, ""))
+    return scored.filter(F.col(name) < threshold).select(*docs.columns)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> DataFrame:
     """``doc_id, held_out, score, predicted, sentences`` for every row of ``docs``."""
     scored = score(docs.select("doc_id", "text"), fit(docs, labels, fit_documents))

@@ -71,3 +71,18 @@ def test_as_good_as_serial_best_fit():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert P.packed_documents(df, K.default_tokenizer()).count() == 0
+
+
+def test_pack_keeps_columns_of_any_name(spark):
+    names = ["rank", "_part", "_at", "c0", "k0", "p", "i"]
+    rows = [(i, 0, 0, 1 + i % 7, *[f"{n}{i}" for n in names], -1, -2) for i in range(40)]
+    kinds = ", ".join(f"`{n}` string" for n in names)
+    df = spark.createDataFrame(rows, f"doc_id long, piece int, start long, length long, {kinds}, sequence_id long, offset long")
+    out = P.pack(df, 10)
+    assert out.columns == [*df.columns[:-2], "sequence_id", "offset"]
+    got = out.collect()
+    assert sorted(tuple(r)[:-2] for r in got) == sorted(r[:-2] for r in rows)
+    used = defaultdict(int)
+    for r in got:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= 10 and len(used) <= serial([r[3] for r in rows], 10) + 1

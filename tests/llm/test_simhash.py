@@ -131,3 +131,13 @@ def test_keep_one_keeps_different_texts_without_or_under_one_id(spark):
     assert sorted(map(str, (r[:2] for r in kept if r[3] in "ns"))) == sorted(map(str, (r[:2] for r in rows[:25])))
     assert [r for r in kept if r[3] == "c"] == [(40, word(200), "x", "c")]
     assert len([r for r in kept if r[3] == "d"]) == 1
+
+
+def test_keep_one_keeps_the_values_of_all_columns(spark):
+    names = ["_hash", "hash", "_row", "row_hash", "rank", "_rank", "label", "fp", "src"]
+    kinds = ", ".join(f"`{n}` double" for n in names)
+    rows = [(i, f"text number {i} of its own kind", *[float(i)] * len(names)) for i in range(6)]
+    rows += [(20, rows[0][1], *[9.0] * len(names))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + kinds)
+    out = S.keep_one(df)
+    assert out.columns == df.columns and sorted(map(tuple, out.collect())) == sorted(rows[:6])

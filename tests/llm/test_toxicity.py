@@ -56,3 +56,29 @@ def test_without_labels_or_documents(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in X.toxicity(docs, none).collect()} == {0}
     assert X.toxicity(docs.limit(0), none).count() == 0
+
+
+def test_columns_of_any_name(spark):
+    docs, labels = corpus(300)
+    df = spark.createDataFrame(docs, SCHEMA)
+    model = X.fit(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    want = {r.doc_id: r._score for r in X.score(df, model, spans=False).collect()}
+    clash = df.selectExpr("doc_id", "text", "7.5D AS _score", "'s' AS _sentences", "3 AS score", "doc_id AS _SENTENCE")
+    scored = X.score(clash, model)
+    assert scored.columns == ["doc_id", "text", "score", "_SENTENCE", "_score", "_sentences"]
+    assert {r.doc_id: r._score for r in scored.collect()} == want
+    kept = X.clean(clash, model)
+    assert kept.columns == clash.columns
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == {i for i, s in want.items() if s < X.THRESHOLD}
+    assert all(tuple(r)[2:] == (7.5, "s", 3, r.doc_id) for r in rows)
+
+
+def test_one_very_long_text(spark):
+    docs, labels = corpus(300)
+    long = " ".join(["w%d word here." % (i % 90) for i in range(60_000)])
+    docs += [(900, long, "x", 0.0), (902, long + " You vexing grumble thing.", "x", 0.0)]
+    df = spark.createDataFrame(docs, SCHEMA)
+    got = {r.doc_id: r for r in X.toxicity(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    (last,) = [s for s in got[902].sentences if s.p > 0.5 and "vexing" in (long + " You vexing grumble thing.")[s.start : s.end]]
+    assert last.end >= len(long) and got[902].score >= got[900].score
