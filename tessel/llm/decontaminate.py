@@ -107,6 +107,7 @@ class Index:
         norm = K1 * (1 - B + B * length / max(statistics.words / max(statistics.items, 1), 1e-9))
         impact = idf[term] * tf * (K1 + 1) / (tf + norm[item]) if len(code) else np.zeros(0)
         impact = impact / np.bincount(item, impact, minlength=self.n)[item] if len(code) else impact
+        impact = np.ldexp(np.round(np.ldexp(impact, 40)), -40)  # sums of such steps are exact in any order
         self.code, self.item, self.impact = code, item, impact
         self.begin = np.searchsorted(term, np.arange(len(self.terms) + 1))
         self.top = np.maximum.reduceat(impact, self.begin[:-1]) if len(code) else np.zeros(0)
