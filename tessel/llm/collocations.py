@@ -19,7 +19,8 @@ packed arrays in the shared folder, one set for each range of slots; a step shuf
 counts and the arrays by that range, adds them up, and sends the bits of the slots that
 have reached the threshold to the driver (``SLOTS / 8`` bytes a length).
 
-Candidates then get their words back in one more scan, their best cut and the longer phrases
+Candidates then get their words back in one more scan (of a few folders, then of more, each
+time for the candidates still without, so that a phrase all tasks hold is told by few), their best cut and the longer phrases
 that hold them by joins on phrase hashes, and an exact integer score in 128-bit decimals
 (counts up to 10^15).  The best of each language are cut down in each partition before
 they meet, and only their words are spelled out.  Words and phrases are told apart by
@@ -43,6 +44,7 @@ from tessel.llm.words import blocks_for, chunks, mix, text_buffer, words
 from tessel.session import discard, materialize, release
 
 SHARDS = 3
+FOLDERS = 8  # folders of a shard
 SLOTS = 1 << 22
 THRESHOLD = 10
 LONGEST = 3
@@ -91,7 +93,8 @@ def _gaps() -> tuple[np.ndarray, np.ndarray]:
 
 
 def sharded_words(docs: DataFrame, shards: int) -> DataFrame:
-    """``shard, lang, words, seq``: packed sequences of word hashes, 0 before each piece, and how many words."""
+    """``folder, lang, words, seq``: packed sequences of word hashes, 0 before each piece, and how many words;
+    shard ``k`` is every folder that leaves ``k`` when divided by ``shards``."""
 
     def run(batches):
         gaps, ends = _gaps()
@@ -120,7 +123,7 @@ def sharded_words(docs: DataFrame, shards: int) -> DataFrame:
                     rows = [seq[x:y] for x, y in zip(cut, cut[1:])]
                     yield pa.record_batch(
                         {
-                            "shard": pa.array((turn + np.arange(len(rows))) % shards, pa.int32()),
+                            "folder": pa.array((turn + np.arange(len(rows))) % (shards * FOLDERS), pa.int32()),
                             "lang": pa.array([name] * len(rows), pa.string()),
                             "words": pa.array([int(np.count_nonzero(r)) for r in rows], pa.int64()),
                             "seq": pa.array([r.tobytes() for r in rows], pa.binary()),
@@ -129,7 +132,7 @@ def sharded_words(docs: DataFrame, shards: int) -> DataFrame:
                     turn += len(rows)
 
     rows = docs.select("text", F.col("lang").cast("string").alias("lang"))
-    return rows.mapInArrow(run, "shard int, lang string, words long, seq binary")
+    return rows.mapInArrow(run, "folder int, lang string, words long, seq binary")
 
 
 def _sequences(batch: pa.RecordBatch):
@@ -217,7 +220,7 @@ def scan(table: DataFrame, shard: int, step: int, shards: int, reached: list[np.
             if parts:
                 yield _packed_batch(rows(m, *_added(parts)))
 
-    return table.filter(F.col("shard") == shard).select("lang", "seq").mapInArrow(run, _PACKED)
+    return table.filter(F.col("folder") % shards == shard).select("lang", "seq").mapInArrow(run, _PACKED)
 
 
 def _merge(slots: int, buckets: int, threshold: int):
@@ -314,10 +317,8 @@ def _untold(told: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return new, np.union1d(told, one[new]) if len(told) < HELD else told
 
 
-def phrase_words(table: DataFrame, counted: DataFrame, longest: int, slots: int) -> DataFrame:
-    """``key, len, lang, hashes, parts``: the words of every phrase of two or more that was counted, and
-    the hashes of its contiguous parts in the order of ``_spans``."""
-    marks = _slots_of(counted.filter("len > 1"), slots)
+def _tell(table: DataFrame, marks: np.ndarray, longest: int, slots: int) -> DataFrame:
+    """``key, len, lang, hashes, parts`` of the phrases of two or more words in marked slots."""
 
     def run(batches):
         told = [np.zeros(0, np.uint64)] * (longest + 1)
@@ -348,7 +349,30 @@ def phrase_words(table: DataFrame, counted: DataFrame, longest: int, slots: int)
                     )
 
     rows = table.select("lang", "seq")
-    return rows.mapInArrow(run, "key long, len int, lang string, hashes array<long>, parts array<long>").dropDuplicates(["key"])
+    return rows.mapInArrow(run, "key long, len int, lang string, hashes array<long>, parts array<long>")
+
+
+def phrase_words(table: DataFrame, counted: DataFrame, longest: int, slots: int, folders: int) -> DataFrame:
+    """``key, a, len, lang, hashes, parts``: every phrase of two or more that was counted, how often, its
+    words, and the hashes of its contiguous parts in the order of ``_spans``."""
+    spark = table.sparkSession
+    missing = counted.filter("len > 1").select("key", F.col("n").alias("a"))
+    out, at, size, old = None, 0, 1, None
+    while out is None or at < folders:
+        marks = _slots_of(missing.select("key"), slots)
+        if out is not None and not marks.any():
+            break
+        some = table.filter((F.col("folder") >= at) & (F.col("folder") < at + size))
+        told = _tell(some, marks, longest, slots).dropDuplicates(["key"])
+        found, _ = materialize(missing.join(told, "key"), "phrases")
+        out = found if out is None else out.unionByName(found)
+        missing, path = materialize(missing.join(found.select("key"), "key", "left_anti"), "missing")
+        if old:
+            discard(spark, old)
+        at, old = at + size, path
+        size = at  # as many again: 1, 1, 2, 4, ... folders
+        release(spark)
+    return out
 
 
 def spelled(docs: DataFrame, hashes: DataFrame, slots: int) -> DataFrame:
@@ -408,11 +432,10 @@ def collocations(
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's ``top`` phrases of 2 to ``longest`` words."""
     buckets = blocks_for(docs, "text", BUCKET_BYTES)
-    # one folder for each shard, so a scan reads no other
-    table, _ = materialize(sharded_words(docs, shards), "words", partition_by="shard")
+    # in folders, so a scan reads its shard and no other
+    table, _ = materialize(sharded_words(docs, shards), "words", partition_by="folder")
     counted = count_phrases(table, longest, threshold, shards, slots, buckets)
-    named = phrase_words(table, counted, longest, slots)
-    phrases, _ = materialize(named.join(counted.select("key", F.col("n").alias("a")), "key"), "phrases")
+    phrases = phrase_words(table, counted, longest, slots, shards * FOLDERS)
     # a phrase goes where a longer one that holds it has enough of its places
     inside = phrases.filter("len > 2").select(F.explode("parts").alias("key"), F.col("a").alias("longer"))
     most = inside.groupBy("key").agg(F.max("longer").alias("longer"))
