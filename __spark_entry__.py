@@ -11,6 +11,7 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,8 +19,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from tessel import jobs  # noqa: E402
 from tessel import operators as ops  # noqa: E402
+from tessel.plans.indexing import row_index  # noqa: E402
+from tessel.session import ensure_checkpoint_dir  # noqa: E402
 from tessel.sources import join_lines, parse_lines, point_lines, rejected_lines  # noqa: E402
+from tessel.sources.sinks import write_lines  # noqa: E402
 from tessel.sources.tables import FIXTURE_SQL, fixture  # noqa: E402
 from tessel.sources.text import POINT_FIELDS, RECT_FIELDS  # noqa: E402
 
@@ -203,6 +208,71 @@ def q_lines_join(spark, d):
     return join_lines(ops.spatial_join(fixture(spark, d, "pts_line"), fixture(spark, d, "rect_part"), "within"))
 
 
+def q_range_query_ordered(spark, d):
+    """O2: the ascending ids with their place in the order."""
+    found = ops.range_query(fixture(spark, d, "pts_line"), BORDER_WINDOW, sort=False)
+    return row_index(found, ["id"], "pos")
+
+
+def q_points_ordered(spark, d):
+    """O1: points by x, then y, with their place in the order."""
+    return row_index(fixture(spark, d, "pts_line").select("x", "y"), ["x", "y"], "pos")
+
+
+def q_join_ordered(spark, d):
+    """O3: join rows by ``bid`` with their place in the order."""
+    joined = ops.spatial_join_text(fixture(spark, d, "rect_cust"), fixture(spark, d, "rect_part"), "intersects")
+    return row_index(joined, ["bid"], "pos")
+
+
+def _text_job(spark, command, inputs, *after):
+    """Run a text job on ``inputs`` (tables of lines, written to the shared folder) and read its files back:
+    the lines with their place in the files (files by name, then from the top)."""
+    folder = f"{ensure_checkpoint_dir(spark)}/job-{uuid.uuid4().hex}"
+    paths = [f"{folder}/in{i}" for i in range(len(inputs))]
+    for lines, path in zip(inputs, paths):
+        write_lines(lines, path)
+    jobs.run(spark, [*command, *paths, f"{folder}/out", *after])
+    return _read_back(spark, f"{folder}/out")
+
+
+def _read_back(spark, path):
+    lines = spark.read.text(path)
+    place = lines.select("value", "_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+    return row_index(place, ["file_name", "file_block_start", "at"], "pos").select("pos", "value")
+
+
+def _id_lines(df, *cols):
+    return _lines(df, "id", *cols, tail=F.lit(""))
+
+
+def _window_lines(spark, window):
+    """A window file: only its first valid line counts."""
+    lines = ["not a window", ",".join(map(str, window)), "0,0,1,1"]
+    return spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+
+
+def q_job_range(spark, d):
+    """Text in, text out: points and a window file, ids in ordered part files."""
+    return _text_job(spark, ["range"], [_id_lines(fixture(spark, d, "pts_line"), "x", "y"), _window_lines(spark, BORDER_WINDOW)])
+
+
+def q_job_range_single_file(spark, d):
+    points = _id_lines(fixture(spark, d, "pts_line"), "x", "y")
+    return _text_job(spark, ["--single-file", "range"], [points, _window_lines(spark, BORDER_WINDOW)])
+
+
+def q_job_join_point(spark, d):
+    points = _id_lines(fixture(spark, d, "pts_line"), "x", "y")
+    rects = _id_lines(fixture(spark, d, "rect_part"), "x1", "y1", "x2", "y2")
+    return _text_job(spark, ["join"], [points, rects], "point")
+
+
+def q_job_join_rectangle(spark, d):
+    a, b = (_id_lines(fixture(spark, d, t), "x1", "y1", "x2", "y2") for t in ("rect_cust", "rect_part"))
+    return _text_job(spark, ["join"], [a, b], "rectangle")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "points_on_border": q_points_on_border,
@@ -237,6 +307,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_id_rectangles": q_text_id_rectangles,
     "lines_points": q_lines_points,
     "lines_join": q_lines_join,
+    "range_query_ordered": q_range_query_ordered,
+    "points_ordered": q_points_ordered,
+    "join_ordered": q_join_ordered,
+    "job_range": q_job_range,
+    "job_range_single_file": q_job_range_single_file,
+    "job_join_point": q_job_join_point,
+    "job_join_rectangle": q_job_join_rectangle,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -339,6 +416,18 @@ def _union_sql(fx: str, collinear: bool = False) -> str:
     )
 
 
+_IN_BORDER = f"x >= {_bx1} AND x <= {_bx2} AND y >= {_by1} AND y <= {_by2}"
+_JOB_RANGE = (
+    _with("pts_line")
+    + f"SELECT row_number() OVER (ORDER BY id) - 1 AS pos, CAST(id AS VARCHAR) AS value FROM pts_line WHERE {_IN_BORDER}"
+)
+
+
+def _job_join(a: str, b: str, cond: str) -> str:
+    joined = _with(a, b) + _LIST.format(b=b, a=a, cond=cond)
+    return f"SELECT row_number() OVER (ORDER BY bid) - 1 AS pos, CAST(bid AS VARCHAR) || ',' || aids AS value FROM ({joined}) t"
+
+
 ORACLE: dict[str, str] = {
     "range_query": _with("pts_emb")
     + f"SELECT id FROM pts_emb WHERE x >= {_ex1} AND x <= {_ex2} AND y >= {_ey1} AND y <= {_ey2}",
@@ -396,6 +485,14 @@ ORACLE: dict[str, str] = {
     + "SELECT CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) AS value FROM pts_cust",
     "lines_join": "SELECT CAST(bid AS VARCHAR) || ',' || aids AS value FROM ("
     + _with("pts_line", "rect_part") + _LIST.format(b="rect_part", a="pts_line", cond=_PT_IN) + ") t",
+    "range_query_ordered": _with("pts_line") + f"SELECT id, row_number() OVER (ORDER BY id) - 1 AS pos FROM pts_line WHERE {_IN_BORDER}",
+    "points_ordered": _with("pts_line") + "SELECT x, y, row_number() OVER (ORDER BY x, y) - 1 AS pos FROM pts_line",
+    "join_ordered": "SELECT bid, aids, row_number() OVER (ORDER BY bid) - 1 AS pos FROM ("
+    + _with("rect_cust", "rect_part") + _LIST.format(b="rect_part", a="rect_cust", cond=_RECT_INTERSECTS) + ") t",
+    "job_range": _JOB_RANGE,
+    "job_range_single_file": _JOB_RANGE,
+    "job_join_point": _job_join("pts_line", "rect_part", _PT_IN),
+    "job_join_rectangle": _job_join("rect_cust", "rect_part", _RECT_INTERSECTS),
     "distinct_points": _with("pts_cust") + "SELECT DISTINCT x, y FROM pts_cust WHERE NOT isnan(x) AND NOT isnan(y)",
     "envelope": _with("rect_supp_many")
     + "SELECT DISTINCT x, y FROM (SELECT min(least(x1, x2)) AS lx, min(least(y1, y2)) AS ly, "
