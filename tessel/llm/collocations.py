@@ -296,16 +296,31 @@ def count_phrases(
     return out
 
 
-def _slots_of(hashes: DataFrame, slots: int) -> np.ndarray:
-    """Which slots the ``key`` column takes: one word of bits for 64 slots comes back, so at most ``slots / 64`` rows."""
-    marks = np.zeros(max(slots, 64), bool)
-    bits = hashes.select(F.col("key").bitwiseAND(F.lit(slots - 1)).alias("slot"))
-    bits = bits.select(F.shiftright("slot", 6).alias("word"), F.expr("shiftleft(1L, CAST(slot & 63 AS INT))").alias("bit"))
-    for r in bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
-        marks[64 * r["word"] : 64 * r["word"] + 64] = np.unpackbits(np.array([r["bits"]], "<i8").view(np.uint8), bitorder="little")
+_PLACES = (0, 21, 42)  # bits of a hash at which its three slots begin
+
+
+def _marks(hashes: DataFrame, slots: int) -> list[np.ndarray]:
+    """Three tables of the slots that the ``key`` column takes (a hash is looked up in all three): one word
+    of bits for 64 slots comes back, so at most ``3 * slots / 64`` rows."""
+    marks = [np.zeros(max(slots, 64), bool) for _ in _PLACES]
+    slot = lambda b: F.shiftrightunsigned("key", b).bitwiseAND(F.lit(slots - 1))
+    each = F.array(*(F.struct(F.lit(t).alias("t"), slot(b).alias("slot")) for t, b in enumerate(_PLACES)))
+    bits = hashes.select(F.inline(each))
+    bits = bits.select("t", F.shiftright("slot", 6).alias("word"), F.expr("shiftleft(1L, CAST(slot & 63 AS INT))").alias("bit"))
+    for r in bits.groupBy("t", "word").agg(F.bit_or("bit").alias("bits")).collect():
+        found = np.unpackbits(np.array([r["bits"]], "<i8").view(np.uint8), bitorder="little")
+        marks[r["t"]][64 * r["word"] : 64 * r["word"] + 64] = found
     return marks
 
 
+def _marked(marks: list[np.ndarray], slots: int, key: np.ndarray) -> np.ndarray:
+    """Places of the hashes that are marked, and perhaps of a few others."""
+    at = np.arange(len(key))
+    for mark, b in zip(marks, _PLACES):
+        at = at[mark[((key[at] >> np.uint64(b)) & np.uint64(slots - 1)).astype(np.int64)]]
+    return at
+
+
 def _spans(m: int) -> list[tuple[int, int]]:
     """``(from, to)`` of the contiguous parts of ``m`` words."""
     return [(a, b) for a in range(m) for b in range(a + 1, m + 1) if b - a < m]
@@ -317,7 +332,7 @@ def _untold(told: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return new, np.union1d(told, one[new]) if len(told) < HELD else told
 
 
-def _tell(table: DataFrame, marks: np.ndarray, longest: int, slots: int) -> DataFrame:
+def _tell(table: DataFrame, marks: list[np.ndarray], longest: int, slots: int) -> DataFrame:
     """``key, len, lang, hashes, parts`` of the phrases of two or more words in marked slots."""
 
     def run(batches):
@@ -327,7 +342,7 @@ def _tell(table: DataFrame, marks: np.ndarray, longest: int, slots: int) -> Data
                 keys = _keys(seq, _language_seed(lang), longest)
                 for m in range(2, longest + 1):
                     at, key = keys[m - 1]
-                    some = np.flatnonzero(marks[(key & np.uint64(slots - 1)).astype(np.int64)])
+                    some = _marked(marks, slots, key)
                     one, first = np.unique(key[some], return_index=True)
                     new, told[m] = _untold(told[m], one)
                     if not new.any():
@@ -359,8 +374,8 @@ def phrase_words(table: DataFrame, counted: DataFrame, longest: int, slots: int,
     missing = counted.filter("len > 1").select("key", F.col("n").alias("a"))
     out, at, size, old = None, 0, 1, None
     while out is None or at < folders:
-        marks = _slots_of(missing.select("key"), slots)
-        if out is not None and not marks.any():
+        marks = _marks(missing.select("key"), slots)
+        if out is not None and not marks[0].any():
             break
         some = table.filter((F.col("folder") >= at) & (F.col("folder") < at + size))
         told = _tell(some, marks, longest, slots).dropDuplicates(["key"])
@@ -377,7 +392,7 @@ def phrase_words(table: DataFrame, counted: DataFrame, longest: int, slots: int,
 
 def spelled(docs: DataFrame, hashes: DataFrame, slots: int) -> DataFrame:
     """``key, word``: the words (A-Z lower-cased) with the hashes ``key``, and perhaps others."""
-    marks = _slots_of(hashes, slots)
+    marks = _marks(hashes, slots)
 
     def run(batches):
         gaps, _ = _gaps()
@@ -388,7 +403,7 @@ def spelled(docs: DataFrame, hashes: DataFrame, slots: int) -> DataFrame:
                 data, offsets = text_buffer(part.column("text"))
                 h, start, end, _ = words(data, offsets, gaps)
                 h = np.maximum(h, np.uint64(1))
-                some = np.flatnonzero(marks[(h & np.uint64(slots - 1)).astype(np.int64)])
+                some = _marked(marks, slots, h)
                 one, first = np.unique(h[some], return_index=True)
                 new, told = _untold(told, one)
                 at = some[first[new]]
