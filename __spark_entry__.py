@@ -273,6 +273,12 @@ def q_job_join_rectangle(spark, d):
     return _text_job(spark, ["join"], [a, b], "rectangle")
 
 
+def q_join_point_chunks(spark, d):
+    """The lists of a join in chunks, each as the text of its ids."""
+    chunks = ops.spatial_join_chunks(fixture(spark, d, "pts_line"), fixture(spark, d, "rect_part"), "within", size=50)
+    return chunks.select("bid", "chunk", F.array_join(F.col("aids").cast("array<string>"), ",").alias("aids"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "points_on_border": q_points_on_border,
@@ -310,6 +316,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query_ordered": q_range_query_ordered,
     "points_ordered": q_points_ordered,
     "join_ordered": q_join_ordered,
+    "join_point_chunks": q_join_point_chunks,
     "job_range": q_job_range,
     "job_range_single_file": q_job_range_single_file,
     "job_join_point": q_job_join_point,
@@ -489,6 +496,10 @@ ORACLE: dict[str, str] = {
     "points_ordered": _with("pts_line") + "SELECT x, y, row_number() OVER (ORDER BY x, y) - 1 AS pos FROM pts_line",
     "join_ordered": "SELECT bid, aids, row_number() OVER (ORDER BY bid) - 1 AS pos FROM ("
     + _with("rect_cust", "rect_part") + _LIST.format(b="rect_part", a="rect_cust", cond=_RECT_INTERSECTS) + ") t",
+    "join_point_chunks": _with("pts_line", "rect_part")
+    + "SELECT bid, chunk, coalesce(string_agg(CAST(aid AS VARCHAR), ',' ORDER BY aid), '') AS aids FROM ("
+    "SELECT b.id AS bid, a.id AS aid, (row_number() OVER (PARTITION BY b.id ORDER BY a.id) - 1) // 50 AS chunk "
+    f"FROM rect_part b LEFT JOIN pts_line a ON {_PT_IN}) GROUP BY bid, chunk",
     "job_range": _JOB_RANGE,
     "job_range_single_file": _JOB_RANGE,
     "job_join_point": _job_join("pts_line", "rect_part", _PT_IN),

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tessel.functions import predicates as P
 from tessel.plans.grid import grid_join
+from tessel.plans.indexing import row_index
 
 RECT = ("x1", "y1", "x2", "y2")
 
@@ -178,3 +179,28 @@ def spatial_join_text(a: DataFrame, b: DataFrame, predicate: str | None = None,
     lists = spatial_join(a, b, predicate, a_id=a_id, b_id=b_id)
     ids = F.array_join(F.col("aids").cast("array<string>"), ",")
     return lists.select("bid", F.when(F.size("aids") > 0, ids).otherwise(F.lit("NULL")).alias("aids"))
+
+
+CHUNK_IDS = 100_000  # ids in one chunk of a list
+
+
+def spatial_join_chunks(
+    a: DataFrame, b: DataFrame, predicate: str | None = None, *, a_id="id", b_id="id", size: int = CHUNK_IDS
+) -> DataFrame:
+    """``(bid, brow, chunk, aids)``: the lists of :func:`spatial_join` in numbered pieces of at most ``size`` ids.
+
+    ``brow`` numbers the B rows by id, then corners, so rows that share an id keep lists of their own.
+    Ids ascend inside a chunk and from chunk to chunk; a row without partners has one empty
+    chunk.  Pairs are sorted by range over all rows and numbered (:func:`row_index`), so a rectangle that
+    matches every A row is spread over tasks, and no row of the result is longer than a chunk.
+    """
+    bn = row_index(_norm_rect(b, "b", b_id), _B_KEY, "brow")
+    pairs = _pairs(a, bn, predicate, a_id).select("brow", "bid", "aid")
+    placed = row_index(pairs, ["brow", "aid"], "_at")
+    first = placed.groupBy("brow").agg(F.min("_at").alias("_first"))
+    chunk = F.floor((F.col("_at") - F.col("_first")) / F.lit(size)).alias("chunk")
+    lists = placed.join(first, "brow").select("bid", "brow", chunk, "aid").groupBy("bid", "brow", "chunk")
+    lists = lists.agg(F.sort_array(F.collect_list("aid")).alias("aids"))
+    none = F.array().cast(lists.schema["aids"].dataType)
+    alone = bn.join(first, "brow", "left_anti").select("bid", "brow", F.lit(0).cast("long").alias("chunk"), none.alias("aids"))
+    return lists.unionByName(alone)
