@@ -22,7 +22,7 @@ have reached the threshold to the driver (``SLOTS / 8`` bytes a length).
 Candidates then get their words back in one more scan (of a few folders, then of more, each
 time for the candidates still without, so that a phrase all tasks hold is told by few), their best cut and the longer phrases
 that hold them by joins on phrase hashes, and an exact integer score in 128-bit decimals
-(counts up to 10^15).  The best of each language are cut down in each partition before
+(counts up to 10^15).  The best of each language are cut down in parts of it before
 they meet, and only their words are spelled out.  Words and phrases are told apart by
 64-bit hashes.
 
@@ -34,6 +34,7 @@ is one row's work, a piece without an end is kept whole.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -459,8 +460,13 @@ def collocations(
     )
     scored = _scored(kept.drop("longer"), counted, longest)
     # ties at the end of the list are told apart by their words, so all of them stay until these are known
-    best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())
-    first, _ = materialize(scored.withColumn("_r", F.rank().over(best)).filter(F.col("_r") <= top).drop("_r"), "best")
+    # in two steps: the best of many parts of a language, then of these, each group about as large
+    parts = max(1, math.isqrt(phrases.count() // max(top, 1)))
+    by = F.col("score").desc(), F.col("a").desc()
+    first = scored
+    for group in ([F.col("lang"), F.pmod("key", F.lit(parts))], [F.col("lang")])[parts == 1 :]:
+        first = first.withColumn("_r", F.rank().over(Window.partitionBy(*group).orderBy(*by))).filter(F.col("_r") <= top).drop("_r")
+    first, _ = materialize(first, "best")
     asked = first.select(F.col("key").alias("phrase_key"), F.posexplode("hashes").alias("place", "key"))
     texts = asked.join(spelled(docs, asked.select("key"), slots), "key").groupBy("phrase_key")
     texts = texts.agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("w"))
