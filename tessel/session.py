@@ -79,6 +79,8 @@ def release(spark: SparkSession) -> None:
 
     Its cleaner works when the driver collects garbage, which a driver that holds little data
     seldom does; a job of many steps calls this after each so that their shuffles do not pile up.
+    What Python gives up reaches the JVM with a later call, hence two rounds.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
