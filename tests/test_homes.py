@@ -97,3 +97,23 @@ def test_thin_infinite_or_crowded_inputs_are_left_to_the_pair_join(spark, always
     crowd = points_df(spark, [(0.5, 0.5)] * 6)
     assert [r.aids for r in ops.spatial_join(crowd, rects_df(spark, [(0, 0, 1, 1)])).collect()] == [list(range(6))]
     assert always == [False] * 3
+
+
+def test_ordered_join_numbers_rectangles_not_lists(spark, always, monkeypatch, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.range(40).selectExpr("id AS c_custkey", "CAST(id % 5 AS INT) AS c_nationkey", "1D * id AS c_acctbal").write.parquet(
+        str(tmp_path / "customer.parquet")
+    )
+    part = spark.range(30).selectExpr("nullif(id DIV 2, 3) AS p_partkey", "CAST(id % 7 AS INT) AS p_size", "899D + id % 3 AS p_retailprice")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    numbered = []
+    plain = entry.row_index
+    monkeypatch.setattr(entry, "row_index", lambda df, *args: numbered.append(df.columns) or plain(df, *args))
+    rows = entry.q_join_ordered(spark, str(tmp_path)).orderBy("pos").collect()
+    assert numbered == [["id", "x1", "y1", "x2", "y2"]] and always == [True]
+    assert [r.pos for r in rows] == list(range(30))
+    assert [r.bid for r in rows] == sorted((r.bid for r in rows if r.bid is not None)) + [None] * 2
+    a, b = (entry.fixture(spark, str(tmp_path), t) for t in ("rect_cust", "rect_part"))
+    want = ops.spatial_join_text(a, b, "intersects").collect()
+    assert sorted(((r.bid, r.aids) for r in rows), key=str) == sorted(((r.bid, r.aids) for r in want), key=str)
