@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from tessel.llm.words import chunks, text_buffer, words, worker_store
 from tessel.session import ensure_checkpoint_dir, materialize
 
-CACHED_WORDS = 2_000_000  # words remembered by one worker; it starts anew beyond that
-SLOTS = 1 << 22
+CACHED_WORDS = 500_000  # words remembered by one worker; it starts anew beyond that
+SLOTS = 1 << 16  # of an empty table, which doubles before it is half full
 CACHED_BYTES = 48  # longer words are encoded each time
 TEXT_BYTES = 2 << 20  # text encoded at once
 TAILS = b".,;:!?"
@@ -38,26 +38,27 @@ class WordTable:
     def __init__(self, dtype):
         self.keys = np.zeros(SLOTS, np.uint64)
         self.entry = np.full(SLOTS, -1, np.int32)
-        self.ids = np.zeros(1 << 20, dtype)
-        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.entries, self.used = 0, 0
+        self.ids = np.zeros(1 << 16, dtype)
+        self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+        self.entries, self.used, self.stored = 0, 0, 0
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Entry of each hash, -1 where unknown."""
         out = np.full(len(h), -1, np.int32)
         left = np.arange(len(h))
-        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        slots = len(self.keys)
+        slot = (h & np.uint64(slots - 1)).astype(np.int64)
         while len(left):
             e = self.entry[slot]
             hit = (e >= 0) & (self.keys[slot] == h[left])
             out[left[hit]] = e[hit]
             on = (e >= 0) & ~hit
-            left, slot = left[on], (slot[on] + 1) % SLOTS
+            left, slot = left[on], (slot[on] + 1) % slots
         return out
 
     def add(self, runs: list[bytes], itemsize: int) -> np.ndarray:
         """New entries for runs of ids -> their numbers."""
-        size = np.array([len(r) // itemsize for r in runs], np.int64)
+        size = np.array([len(r) // itemsize for r in runs], np.int32)
         flat = np.frombuffer(b"".join(runs), self.ids.dtype)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -67,14 +68,22 @@ class WordTable:
         self.ids[self.used : self.used + len(flat)] = flat
         new = np.arange(self.entries, self.entries + len(runs))
         self.size[new] = size
-        self.begin[new] = self.used + np.cumsum(size) - size
+        self.begin[new] = self.used + np.cumsum(size, dtype=np.int64) - size
         self.used += len(flat)
         self.entries += len(runs)
         return new
 
     def put(self, h: np.ndarray, entry: np.ndarray) -> None:
         """Store distinct, so far unknown hashes."""
-        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        self.stored += len(h)
+        slots = len(self.keys)
+        if 2 * self.stored > slots:
+            old = self.entry >= 0
+            h, entry = np.concatenate([self.keys[old], h]), np.concatenate([self.entry[old], entry])
+            while 2 * self.stored > slots:
+                slots *= 2
+            self.keys, self.entry = np.zeros(slots, np.uint64), np.full(slots, -1, np.int32)
+        slot = (h & np.uint64(slots - 1)).astype(np.int64)
         while len(h):
             free = np.flatnonzero(self.entry[slot] < 0)
             at, who = np.unique(slot[free], return_index=True)  # one claim for each free slot
@@ -83,7 +92,7 @@ class WordTable:
             lost = np.ones(len(h), bool)
             lost[won] = False
             h, entry, slot = h[lost], entry[lost], slot[lost]
-            slot = np.where(self.entry[slot] < 0, slot, (slot + 1) % SLOTS)
+            slot = np.where(self.entry[slot] < 0, slot, (slot + 1) % slots)
 
 
 class WordEncoder:

@@ -90,6 +90,7 @@ def fit_rows(feature, sentence, doc, label: np.ndarray) -> tuple[np.ndarray, flo
     seen = np.unique(doc[sentence] * FEATURES + feature)  # each feature once a document
     df = np.bincount(seen % FEATURES, minlength=FEATURES)
     toxic_df = np.bincount((seen % FEATURES)[label[seen // FEATURES] > 0], minlength=FEATURES)
+    del seen  # as long as the sample's words
     used = np.flatnonzero(df >= MIN_DOCUMENTS)
     column = np.full(FEATURES, -1)
     column[used] = np.arange(len(used))

@@ -62,3 +62,32 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     files, _ = K.write_sequences(df, K.default_tokenizer(), 1)
     assert K.read_documents(spark, files).count() == 0
+
+
+def test_word_table_grows_with_its_words():
+    table = K.WordTable(np.dtype("<u2"))
+    held = lambda: sum(x.nbytes for x in (table.keys, table.entry, table.ids, table.begin, table.size))
+    assert held() < 2 << 20  # a few words take little
+    rng, known = np.random.default_rng(4), {}
+    for n in (10, 40_000, 200_000):
+        h = np.unique(rng.integers(1, 1 << 63, n, np.uint64) << np.uint64(1))
+        runs = [np.array([i % 60000] * (i % 3), "<u2").tobytes() for i in range(len(h))]
+        entry = table.add(runs, 2)
+        table.put(h, entry.astype(np.int32))
+        known |= dict(zip(h.tolist(), zip(entry.tolist(), runs)))
+        keys = np.array(list(known), np.uint64)
+        found = table.find(keys)
+        assert found.tolist() == [known[k][0] for k in keys.tolist()]
+        assert (table.find(keys | np.uint64(1)) == -1).all()
+    for e, run in list(known.values())[::997]:
+        assert table.ids[table.begin[e] : table.begin[e] + table.size[e]].tobytes() == run
+
+
+def test_more_words_than_slots_still_end(monkeypatch):
+    monkeypatch.setattr(K, "SLOTS", 16)
+    monkeypatch.setattr(K, "CACHED_WORDS", 50)
+    encoder = K.WordEncoder(K.default_tokenizer())
+    texts = [" ".join(f"w{i}x{k}." for i in range(40)) for k in range(6)]
+    for _ in range(2):
+        ids, first = encoder(*text_buffer(pa.array(texts + ODD)))
+        assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == whole(texts + ODD)
